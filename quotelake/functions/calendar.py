@@ -1,79 +1,77 @@
-"""Date keys, calendar attributes and time-zone-free epoch conversion."""
+"""Date keys, calendar attributes and time-zone-free epoch conversion, as SQL expressions."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 SECONDS_PER_DAY = 86_400
 MILLIS_PER_DAY = 86_400_000
 # From 0001-01-01 to 1970-01-01.
 DAYS_BEFORE_EPOCH = 719_162
 
+UTC_NOW = "convert_timezone('UTC', localtimestamp())"
+
 
-def date_key(day: Column) -> Column:
+def date_key(day: str) -> str:
     """The YYYYMMDD integer of a date."""
-    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+    return f"(year({day}) * 10000 + month({day}) * 100 + day({day}))"
 
 
-def key_date(key: Column) -> Column:
+def key_date(key: str) -> str:
     """The date of a YYYYMMDD integer."""
-    return F.make_date(
-        F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100
-    )
+    return f"make_date(int({key} div 10000), int({key} div 100 % 100), int({key} % 100))"
+
 
+def key_year(key: str) -> str:
+    return f"int({key} div 10000)"
 
-def day_number(key: Column) -> Column:
+
+def day_number(key: str) -> str:
     """Days since 0001-01-01 of a YYYYMMDD integer; below 2**22 for every valid date."""
-    return F.unix_date(key_date(key)) + DAYS_BEFORE_EPOCH
+    return f"(unix_date({key_date(key)}) + {DAYS_BEFORE_EPOCH})"
 
 
-def date_of_seconds(epoch: Column) -> Column:
+def date_of_seconds(epoch: str) -> str:
     """The UTC date of epoch seconds."""
-    return F.date_from_unix_date(F.floor(epoch / SECONDS_PER_DAY).cast("int"))
+    return f"date_from_unix_date(int(floor({epoch} / {SECONDS_PER_DAY})))"
 
 
-def date_of_millis(epoch: Column) -> Column:
+def date_of_millis(epoch: str) -> str:
     """The UTC date of epoch milliseconds."""
-    return F.date_from_unix_date(F.floor(epoch / MILLIS_PER_DAY).cast("int"))
+    return f"date_from_unix_date(int(floor({epoch} / {MILLIS_PER_DAY})))"
 
 
-def iso_date(text: Column) -> Column:
+def iso_date(text: str) -> str:
     """The date of a ``yyyy-M-d`` text, null for anything else."""
-    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
+    form = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+    return f"CASE WHEN {text} RLIKE '{form}' THEN try_cast({text} AS DATE) END"
 
 
-def calendar_columns(day: Column) -> list[Column]:
-    """The columns of the date dimension for one date."""
-    weekday = F.dayofweek(day) - 1  # 0 = Sunday
+def calendar_columns(day: str) -> list[str]:
+    """The columns of the date dimension for one date. Weekdays count from 0 = Sunday."""
     return [
-        date_key(day).alias("date_key"),
-        day.alias("full_date"),
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"),
-        F.day(day).alias("day"),
-        weekday.alias("day_of_week"),
-        F.weekofyear(day).alias("week_of_year"),
-        weekday.isin(0, 6).alias("is_weekend"),
+        f"{date_key(day)} AS date_key",
+        f"{day} AS full_date",
+        f"year({day}) AS year",
+        f"quarter({day}) AS quarter",
+        f"month({day}) AS month",
+        f"day({day}) AS day",
+        f"dayofweek({day}) - 1 AS day_of_week",
+        f"weekofyear({day}) AS week_of_year",
+        f"dayofweek({day}) IN (1, 7) AS is_weekend",
     ]
 
 
-def utc_now() -> Column:
-    """The current UTC wall-clock time."""
-    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
-
+def look_back(as_of: dt.date | None, days: int) -> str:
+    """First date of a window of ``days`` days ending at ``as_of``, or today; that day is
+    inside. Either way it is a constant to the optimizer and reaches the file scan."""
+    end = "current_date()" if as_of is None else f"DATE '{as_of:%Y-%m-%d}'"
+    return f"date_sub({end}, {int(days)})"
 
-def look_back(as_of: dt.date | Column | None, days: int) -> Column:
-    """First date of a window of ``days`` days ending at ``as_of``; that day is inside.
 
-    ``as_of`` is a date, any date column, or nothing for today. A date (or today) is a
-    constant to the optimizer, so the window reaches the file scan.
-    """
-    end = F.current_date() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return F.date_sub(end, days)
+def stamp(now: dt.datetime | None) -> str:
+    """A given UTC time, or the present one."""
+    return UTC_NOW if now is None else f"TIMESTAMP_NTZ '{now:%Y-%m-%d %H:%M:%S.%f}'"
 
 
 def clamp(value: int, low: int, high: int) -> int:

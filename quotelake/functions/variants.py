@@ -1,53 +1,68 @@
-"""Strict JSON reading on VARIANT: tells missing, null, text and number apart."""
+"""Strict JSON reading on VARIANT, as SQL expressions: tells missing, null, text and number
+apart."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Written behind the text; found again only if the text was one complete JSON value.
 _END = "end of record"
 
 # Fixed value: the largest magnitude a 96-bit decimal can hold.
-MAX_DECIMAL = 79228162514264337593543950335.0
+MAX_DECIMAL = "79228162514264337593543950335D"
 
-NUMBER_TYPE = r"^(BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)$"
-NUMBER_ARRAY_TYPE = r"^ARRAY<(VOID|BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)>$"
+_NUMBER = r"BIGINT|DECIMAL[(][0-9]+,[0-9]+[)]|DOUBLE"
 
 
-def parse_with_end(text: Column) -> Column:
+def parse_with_end(text: str) -> str:
     """``text`` parsed with the marker behind it; hand the result to ``only_value``.
 
     The parser stops at the end of the first value, so the text is wrapped in an array
     that closes with the marker, and the marker must come back as the second element.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return f"""try_parse_json(concat('[', {text}, ',"{_END}"]'))"""
 
 
-def only_value(wrapped: Column) -> Column:
+def only_value(wrapped: str) -> str:
     """The only JSON value of a text; null when malformed or followed by anything else."""
-    complete = (F.size(items(wrapped)) == 2) & (F.try_variant_get(wrapped, "$[1]", "string") == _END)
-    return F.when(complete, member(wrapped, "$[0]"))
+    return (
+        f"CASE WHEN size({items(wrapped)}) = 2 AND {read(wrapped, '$[1]', 'string')} = '{_END}' "
+        f"THEN {member(wrapped, '$[0]')} END"
+    )
+
+
+def read(value: str, path: str, kind: str) -> str:
+    """The value at ``path`` as a type; null when missing, null or not of that type."""
+    return f"try_variant_get({value}, '{path}', '{kind}')"
 
 
-def items(value: Column, path: str = "$") -> Column:
+def items(value: str, path: str = "$") -> str:
     """The elements of the array at ``path``; null when there is no array."""
-    return F.try_variant_get(value, path, "array<variant>")
+    return read(value, path, "array<variant>")
 
 
-def member(value: Column, path: str) -> Column:
+def member(value: str, path: str) -> str:
     """The value at ``path``; null only when it is missing."""
-    return F.try_variant_get(value, path, "variant")
+    return read(value, path, "variant")
 
 
-def type_of(value: Column) -> Column:
-    """The value's type name; VOID for a JSON null, null when missing."""
-    return F.schema_of_variant(value)
+def type_of(value: str, path: str = "$") -> str:
+    """The type name of the value at ``path``; VOID for a JSON null, null when missing."""
+    return f"schema_of_variant({member(value, path)})"
 
 
-def is_number(value: Column) -> Column:
+def is_text(value: str, path: str) -> str:
+    """True for a text or a JSON null; null when missing."""
+    return f"{type_of(value, path)} IN ('STRING', 'VOID')"
+
+
+def is_number(value: str, path: str = "$") -> str:
     """True for a JSON number that fits a 96-bit decimal; null when missing."""
-    return F.when(value.isNull(), F.lit(None).cast("boolean")).otherwise(
-        type_of(value).rlike(NUMBER_TYPE)
-        & F.coalesce(F.abs(F.try_variant_get(value, "$", "double")) <= MAX_DECIMAL, F.lit(False))
+    return (
+        f"({type_of(value, path)} RLIKE '^({_NUMBER})$' "
+        f"AND CASE WHEN {member(value, path)} IS NOT NULL "
+        f"THEN coalesce(abs({read(value, path, 'double')}) <= {MAX_DECIMAL}, false) END)"
     )
+
+
+def is_number_list(type_name: str) -> str:
+    """True for the type name of an array of numbers and nulls."""
+    return f"{type_name} RLIKE '^ARRAY<(VOID|{_NUMBER})>$'"

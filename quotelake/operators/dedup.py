@@ -8,18 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def first_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def first_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], count: int = 1) -> DataFrame:
+    """The first ``count`` rows of each key; ``order`` may hold ``name DESC``."""
+    ranked = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+    return rows.selectExpr("*", f"{ranked} AS _rank").where(f"_rank <= {int(count)}").drop("_rank")
+
+
+def first_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key."""
-    ranked = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+    return first_rows(rows, keys, order)
 
 
 def last_wins(
     rows: DataFrame, keys: Sequence[str], version: str, order: Sequence[str] = ()
 ) -> DataFrame:
     """The row of each key with the highest version; among equals the last in ``order``."""
-    return first_wins(rows, keys, [F.desc(version), *(F.desc(name) for name in order)])
+    return first_rows(rows, keys, [f"{name} DESC" for name in (version, *order)])

@@ -3,24 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from itertools import chain
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from quotelake import schemas as S
-from quotelake.functions.calendar import calendar_columns, date_key, utc_now
+from quotelake.functions.calendar import calendar_columns, date_key, stamp
 from quotelake.operators.bounded import broadcast_if, fits
 from quotelake.operators.dedup import first_wins
-from quotelake.operators.keys import number_from
+from quotelake.operators.keys import number_after
 
-
-def _stamp(now: dt.datetime | None) -> Column:
-    return utc_now() if now is None else F.lit(now).cast(S.STAMP)
-
-
-def _highest(dim: DataFrame, key: str) -> Column:
-    return dim.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+ASSET_FIELDS = ("name", "asset_type", "exchange", "is_active")
+SOURCE_FIELDS = ("base_url", "is_active")
 
 
 def active_assets(assets: DataFrame) -> DataFrame:
@@ -32,86 +26,81 @@ def lookup(dim: DataFrame, natural_key: str, wanted: DataFrame) -> DataFrame:
     return wanted.select(natural_key).distinct().join(dim, natural_key, "left")
 
 
-def asset_type_of(source: Column, overrides: dict[str, str] | None = None) -> Column:
+def asset_type_of(source: str, overrides: dict[str, str] | None = None) -> str:
     """The asset type a source stands for."""
     rule = {**S.ASSET_TYPE_BY_SOURCE, **(overrides or {})}
-    table = F.create_map(*(F.lit(part) for part in chain.from_iterable(rule.items())))
-    return F.coalesce(F.try_element_at(table, source), F.lit(S.DEFAULT_ASSET_TYPE))
+    cases = " ".join(f"WHEN '{name}' THEN '{kind}'" for name, kind in rule.items())
+    return f"CASE {source} {cases} ELSE '{S.DEFAULT_ASSET_TYPE}' END"
 
 
-def assets_in(quotes: DataFrame, order: tuple = S.BATCH_ORDER) -> DataFrame:
+def assets_in(quotes: DataFrame, order: Sequence[str] = S.BATCH_ORDER) -> DataFrame:
     """The asset each ticker of a batch asks for; its first quote decides the type."""
-    return first_wins(quotes.select("ticker", "source", *order), ["ticker"], order).select(
+    first = first_wins(quotes.select("ticker", "source", *order), ["ticker"], order)
+    return first.selectExpr(
         "ticker",
-        F.col("ticker").alias("name"),
-        asset_type_of(F.col("source")).alias("asset_type"),
-        F.lit(None).cast("string").alias("exchange"),
-        F.lit(True).alias("is_active"),
+        "ticker AS name",
+        f"{asset_type_of('source')} AS asset_type",
+        "CAST(NULL AS STRING) AS exchange",
+        "true AS is_active",
     )
 
 
+def sources_in(quotes: DataFrame) -> DataFrame:
+    return quotes.select("source").distinct().selectExpr(
+        "source AS source_name", "'' AS base_url", "true AS is_active"
+    )
+
+
+def _split(
+    stored: DataFrame, incoming: DataFrame, natural_key: str, key: str, fields: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Stored rows with the batch's fields where it has the key (``changed``), and the rows
+    of new keys with their numbers."""
+    batch = incoming.selectExpr(natural_key, f"struct({', '.join(fields)}) AS new")
+    merged = stored.join(batch, natural_key, "left").selectExpr(
+        *(name for name in stored.columns if name not in fields),
+        *(f"CASE WHEN new IS NULL THEN {name} ELSE new.{name} END AS {name}" for name in fields),
+        "new IS NOT NULL AS changed",
+    )
+    fresh = incoming.join(stored.select(natural_key), natural_key, "left_anti")
+    return merged, number_after(fresh, stored, natural_key, key)
+
+
 def upsert_assets(
     stored: DataFrame, incoming: DataFrame, now: dt.datetime | None = None
 ) -> DataFrame:
     """The asset dimension after the batch: known tickers keep key and creation time and
     take the new attributes, new tickers get the next keys, the rest stays."""
-    stamp = _stamp(now)
-    fields = ["name", "asset_type", "exchange", "is_active"]
-    fresh = number_from(
-        incoming.join(stored.select("ticker"), "ticker", "left_anti"),
-        "ticker", "asset_key", _highest(stored, "asset_key"),
-    )
-    added = fresh.select("asset_key", "ticker", *fields, stamp.alias("created_at"), stamp.alias("updated_at"))
-    batch = incoming.select("ticker", F.struct(*fields).alias("new"))
-    updated = F.col("new").isNotNull()
-    kept = stored.join(batch, "ticker", "left").select(
-        "asset_key",
-        "ticker",
-        *(F.when(updated, F.col(f"new.{name}")).otherwise(F.col(name)).alias(name) for name in fields),
-        "created_at",
-        F.when(updated, stamp).otherwise(F.col("updated_at")).alias("updated_at"),
+    merged, fresh = _split(stored, incoming, "ticker", "asset_key", ASSET_FIELDS)
+    at = stamp(now)
+    kept = merged.selectExpr(
+        "asset_key", "ticker", *ASSET_FIELDS, "created_at",
+        f"CASE WHEN changed THEN {at} ELSE updated_at END AS updated_at",
     )
-    return kept.unionByName(added)
-
-
-def sources_in(quotes: DataFrame) -> DataFrame:
-    return quotes.select(F.col("source").alias("source_name")).distinct().select(
-        "source_name", F.lit("").alias("base_url"), F.lit(True).alias("is_active")
+    return kept.unionAll(
+        fresh.selectExpr("asset_key", "ticker", *ASSET_FIELDS, f"{at} AS created_at", f"{at} AS updated_at")
     )
 
 
 def upsert_sources(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """The source dimension after the batch, by name, as for the assets."""
-    fields = ["base_url", "is_active"]
-    fresh = number_from(
-        incoming.join(stored.select("source_name"), "source_name", "left_anti"),
-        "source_name", "source_key", _highest(stored, "source_key"),
-    )
-    batch = incoming.select("source_name", F.struct(*fields).alias("new"))
-    kept = stored.join(batch, "source_name", "left").select(
-        "source_key",
-        "source_name",
-        *(
-            F.when(F.col("new").isNotNull(), F.col(f"new.{name}")).otherwise(F.col(name)).alias(name)
-            for name in fields
-        ),
-    )
-    return kept.unionByName(fresh.select("source_key", "source_name", *fields))
+    merged, fresh = _split(stored, incoming, "source_name", "source_key", SOURCE_FIELDS)
+    columns = ("source_key", "source_name", *SOURCE_FIELDS)
+    return merged.select(*columns).unionAll(fresh.select(*columns))
 
 
 def missing_dates(stored: DataFrame, days: DataFrame, column: str = "date") -> DataFrame:
     """Date rows the batch needs and the dimension does not have yet."""
-    wanted = days.select(column).distinct().select(*calendar_columns(F.col(column)))
+    wanted = days.select(column).distinct().selectExpr(*calendar_columns(column))
     return wanted.join(stored.select("date_key"), "date_key", "left_anti")
 
 
 def with_keys(quotes: DataFrame, assets: DataFrame, sources: DataFrame) -> DataFrame:
     """Quotes with their three keys; the date key is a function of the date."""
-    small = fits(assets)
-    asset_keys = assets.select("ticker", "asset_key")
-    source_keys = sources.select(F.col("source_name").alias("source"), "source_key")
+    asset_keys = broadcast_if(fits(assets), assets.select("ticker", "asset_key"))
+    source_keys = broadcast_if(fits(sources), sources.selectExpr("source_name AS source", "source_key"))
     return (
-        quotes.join(broadcast_if(small, asset_keys), "ticker")
-        .join(broadcast_if(fits(sources), source_keys), "source")
-        .withColumn("date_key", date_key(F.col("date")))
+        quotes.join(asset_keys, "ticker")
+        .join(source_keys, "source")
+        .selectExpr("*", f"{date_key('date')} AS date_key")
     )

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quotelake import schemas as S
-from quotelake.functions.calendar import utc_now
+from quotelake.functions.calendar import stamp
 from quotelake.operators.dedup import first_wins, last_wins
 from quotelake.operators.dims import with_keys
 from quotelake.operators.keys import fact_id
@@ -18,25 +18,24 @@ PAGE_ROWS = 10_000
 
 def to_facts(keyed: DataFrame) -> DataFrame:
     """Fact columns of quotes that carry their keys."""
-    keys = [F.col(name) for name in S.FACT_KEY]
-    return keyed.select(
-        fact_id(*keys).alias("id"),
-        *keys,
-        F.col("open").alias("open_price"),
-        F.col("high").alias("high_price"),
-        F.col("low").alias("low_price"),
-        F.col("close").alias("close_price"),
+    return keyed.selectExpr(
+        f"{fact_id(*S.FACT_KEY)} AS id",
+        *S.FACT_KEY,
+        "open AS open_price",
+        "high AS high_price",
+        "low AS low_price",
+        "close AS close_price",
         "volume",
         "loaded_at",
     )
 
 
-def first_facts(keyed: DataFrame, order: tuple = S.BATCH_ORDER) -> DataFrame:
+def first_facts(keyed: DataFrame, order: Sequence[str] = S.BATCH_ORDER) -> DataFrame:
     """One fact per key: the first quote of the batch."""
     return to_facts(first_wins(keyed, S.FACT_KEY, order))
 
 
-def last_facts(keyed: DataFrame, order: tuple = S.BATCH_ORDER) -> DataFrame:
+def last_facts(keyed: DataFrame, order: Sequence[str] = S.BATCH_ORDER) -> DataFrame:
     """One fact per key: the quote loaded last."""
     return to_facts(last_wins(keyed, S.FACT_KEY, "loaded_at", order))
 
@@ -56,25 +55,24 @@ def facts_to_add(
     assets: DataFrame,
     sources: DataFrame,
     stored: DataFrame,
-    order: tuple = S.BATCH_ORDER,
+    order: Sequence[str] = S.BATCH_ORDER,
     now: dt.datetime | None = None,
 ) -> DataFrame:
     """The facts a batch adds: first quote per key, unless the key is stored already."""
-    stamp = utc_now() if now is None else F.lit(now).cast(S.STAMP)
     facts = first_facts(with_keys(quotes, assets, sources), order)
-    return only_new(facts, stored).select(*S.FACT_QUOTES.fieldNames()[:-1], stamp.alias("loaded_at"))
+    columns = [name for name in S.FACT_QUOTES.fieldNames() if name != "loaded_at"]
+    return only_new(facts, stored).selectExpr(*columns, f"{stamp(now)} AS loaded_at")
 
 
 def replace_facts(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored and incoming facts where the one loaded last wins."""
-    return last_wins(
-        stored.unionByName(incoming.select(*stored.columns)), S.FACT_KEY, "loaded_at"
-    )
+    """Stored and incoming facts where the one loaded last wins, the incoming one on a tie."""
+    both = stored.selectExpr("*", "0 AS _batch").unionByName(incoming.selectExpr("*", "1 AS _batch"))
+    return last_wins(both, S.FACT_KEY, "loaded_at", ["_batch"]).drop("_batch")
 
 
 def facts_after(facts: DataFrame, last_id: int) -> DataFrame:
     """Facts with an id above ``last_id``: the slice a page scan has not seen."""
-    return facts.where(F.col("id") > last_id)
+    return facts.where(f"id > {int(last_id)}")
 
 
 def fact_page(facts: DataFrame, last_id: int, rows: int = PAGE_ROWS) -> DataFrame:

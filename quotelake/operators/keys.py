@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.calendar import day_number
@@ -15,43 +15,46 @@ DAY_BITS = 22
 SOURCE_BITS = 10
 
 
-def fact_id(asset_key: Column, date_key: Column, source_key: Column) -> Column:
+def fact_id(asset_key: str, date_key: str, source_key: str) -> str:
     """A 63-bit id that is different for different keys and sorts as they do.
 
     The parts are packed, not hashed, so no number of facts can collide.
     """
-    asset = F.shiftleft(asset_key.cast("bigint"), DAY_BITS + SOURCE_BITS)
-    day = F.shiftleft(day_number(date_key).cast("bigint"), SOURCE_BITS)
-    return asset + day + source_key
+    return (
+        f"(shiftleft(bigint({asset_key}), {DAY_BITS + SOURCE_BITS}) "
+        f"+ shiftleft(bigint({day_number(date_key)}), {SOURCE_BITS}) + {source_key})"
+    )
 
 
-def recency(date_key: Column, source_key: Column) -> Column:
+def recency(date_key: str = "date_key", source_key: str = "source_key") -> str:
     """Sortable long: later date first, then lower source key; take the maximum."""
-    return F.shiftleft(date_key.cast("bigint"), 32) - source_key
+    return f"(shiftleft(bigint({date_key}), 32) - {source_key})"
 
 
-def earliness(date_key: Column, source_key: Column) -> Column:
+def earliness(date_key: str = "date_key", source_key: str = "source_key") -> str:
     """Sortable long: earlier date first, then lower source key; take the minimum."""
-    return F.shiftleft(date_key.cast("bigint"), 32) + source_key
+    return f"(shiftleft(bigint({date_key}), 32) + {source_key})"
 
 
-def number_from(rows: DataFrame, natural_key: str, key: str, after: Column) -> DataFrame:
-    """Adds ``key``: consecutive numbers following ``after``, one per natural key.
+def number_after(rows: DataFrame, stored: DataFrame, natural_key: str, key: str) -> DataFrame:
+    """Adds ``key``: consecutive numbers above those of ``stored``, one per natural key.
 
     Keys are spread over hash buckets; each bucket is numbered on its own and shifted by
     the sizes of the buckets before it. Only the 4096 bucket sizes meet in one task. The
     bucket depends on the key alone, so a recomputed task repeats its numbers.
     """
-    bucketed = rows.withColumn("_bucket", F.md5(F.col(natural_key)).substr(1, BUCKET_DIGITS))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")
+    bucketed = rows.selectExpr("*", f"substr(md5({natural_key}), 1, {BUCKET_DIGITS}) AS _bucket")
+    before = "OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    shifts = (
+        bucketed.groupBy("_bucket")
+        .agg(F.count("*").alias("_size"))
+        .selectExpr("_bucket", f"coalesce(sum(_size) {before}, 0) AS _shift")
     )
-    within = Window.partitionBy("_bucket").orderBy(natural_key)
+    highest = stored.agg(F.expr(f"coalesce(max({key}), 0)")).scalar()
+    within = f"row_number() OVER (PARTITION BY _bucket ORDER BY {natural_key})"
     # At most 4096 rows by construction.
     return (
         bucketed.join(F.broadcast(shifts), "_bucket")
-        .withColumn(key, (after + F.col("_shift") + F.row_number().over(within)).cast("int"))
+        .withColumn(key, (highest + F.expr(f"_shift + {within}")).cast("int"))
         .drop("_bucket", "_shift")
     )

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def once(rows: DataFrame, **columns: Column) -> DataFrame:
-    """Adds costly columns as the single element of a generated array.
+def once(rows: DataFrame, **columns: str) -> DataFrame:
+    """Adds costly columns, given as SQL, as the single element of a generated array.
 
     The optimizer copies a projected expression into every filter pushed below it, which
     for JSON means parsing again. A generated column is only ever read.
     """
-    made = F.struct(*(column.alias(name) for name, column in columns.items()))
-    return rows.select("*", F.inline(F.array(made)))
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return rows.selectExpr("*", f"inline(array(named_struct({fields})))")

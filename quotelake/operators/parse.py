@@ -6,10 +6,7 @@ whatever share of the records one source or ticker holds.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake import schemas as S
@@ -25,134 +22,125 @@ OUT_OF_RANGE = "out_of_range"
 NUMBERS = {"open": S.PRICE, "high": S.PRICE, "low": S.PRICE, "close": S.PRICE, "volume": S.VOLUME}
 
 
-def known_source(source: Column) -> Column:
+def known_source(source: str) -> str:
     """The canonical name of a source, whatever its case; null when unknown."""
-    name = F.lower(F.trim(source))
-    return F.coalesce(*(F.when(name == known.lower(), F.lit(known)) for known in S.SOURCES))
-
-
-def is_blank(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"(?U)^\s*$"), F.lit(True))
-
-
-def _read(value: Column, position: Column) -> Column:
-    """What one JSON element holds under each key, as far as its type allows."""
-    is_text = lambda path: V.type_of(V.member(value, path)).isin("STRING", "VOID")
-    return F.struct(
-        position.cast("int").alias("element_pos"),
-        F.coalesce(is_text("$.ticker") & is_text("$.date"), F.lit(False)).alias("texts"),
-        F.try_variant_get(value, "$.ticker", "string").alias("ticker"),
-        iso_date(F.try_variant_get(value, "$.date", "string")).alias("date"),
-        *(F.try_variant_get(value, f"$.{name}", kind.simpleString()).alias(name) for name, kind in NUMBERS.items()),
-        *(V.is_number(V.member(value, f"$.{name}")).alias(f"{name}_ok") for name in NUMBERS),
-    )
-
-
-def _judge(e: Column) -> Column:
-    """The element with missing numbers as 0, and whether it is wanted, bad or out of range.
-
-    Numbers only count where ticker and date are usable.
-    """
-    wanted = e["texts"] & ~is_blank(e["ticker"]) & e["date"].isNotNull()
-    numeric = reduce(and_, (F.coalesce(e[f"{name}_ok"], F.lit(True)) for name in NUMBERS))
-    fits = reduce(and_, (e[f"{name}_ok"].isNull() | e[name].isNotNull() for name in NUMBERS))
-    return F.struct(
-        e["element_pos"].alias("element_pos"),
-        e["ticker"].alias("ticker"),
-        e["date"].alias("date"),
-        *(F.coalesce(e[name], F.lit(0).cast(kind)).alias(name) for name, kind in NUMBERS.items()),
-        wanted.alias("wanted"),
-        (~e["texts"] | (wanted & ~numeric)).alias("bad"),
-        (wanted & numeric & ~fits).alias("out_of_range"),
-    )
+    cases = " ".join(f"WHEN '{name.lower()}' THEN '{name}'" for name in S.SOURCES)
+    return f"CASE lower(trim({source})) {cases} END"
+
+
+def _struct(**fields: str) -> str:
+    return f"named_struct({', '.join(f"'{name}', {value}" for name, value in fields.items())})"
+
+
+# What one JSON element ``e`` holds under each key, as far as its type allows.
+_READ = _struct(
+    element_pos="i",
+    texts=f"coalesce({V.is_text('e', '$.ticker')} AND {V.is_text('e', '$.date')}, false)",
+    ticker=V.read("e", "$.ticker", "string"),
+    day=V.read("e", "$.date", "string"),
+    **{name: V.read("e", f"$.{name}", kind.simpleString()) for name, kind in NUMBERS.items()},
+    **{f"{name}_ok": V.is_number("e", f"$.{name}") for name in NUMBERS},
+)
+
+# Usable text fields, and whether every number present is a number and fits its column.
+_TYPED = _struct(
+    element_pos="e.element_pos",
+    texts="e.texts",
+    ticker="e.ticker",
+    date=iso_date("e.day"),
+    **{name: f"coalesce(e.{name}, CAST(0 AS {kind.simpleString()}))" for name, kind in NUMBERS.items()},
+    numeric=" AND ".join(f"coalesce(e.{name}_ok, true)" for name in NUMBERS),
+    fits=" AND ".join(f"(e.{name}_ok IS NULL OR e.{name} IS NOT NULL)" for name in NUMBERS),
+)
+
+# Numbers only count where ticker and date are usable.
+_BLANK = r"coalesce(e.ticker RLIKE '(?U)^\\s*$', true)"
+_WANTED = f"(e.texts AND NOT {_BLANK} AND e.date IS NOT NULL)"
+_JUDGED = _struct(
+    element_pos="e.element_pos",
+    ticker="e.ticker",
+    date="e.date",
+    **{name: f"e.{name}" for name in NUMBERS},
+    wanted=_WANTED,
+    bad=f"(NOT e.texts OR ({_WANTED} AND NOT e.numeric))",
+    out_of_range=f"({_WANTED} AND e.numeric AND NOT e.fits)",
+)
 
 
 def record_outcomes(lake: DataFrame) -> DataFrame:
     """One row per lake record: its source, its elements, or the reason for its reject."""
-    known = lake.select(
-        "record_id",
-        "loaded_at",
-        F.col("source").alias("given_source"),
-        known_source(F.col("source")).alias("known_source"),
-        "raw_content",
+    known = lake.selectExpr(
+        "record_id", "loaded_at", "raw_content",
+        "source AS given_source", f"{known_source('source')} AS known_source",
     )
     # A record of an unknown source is rejected unread.
-    text = F.when(F.col("known_source").isNotNull(), F.col("raw_content"))
+    text = "CASE WHEN known_source IS NOT NULL THEN raw_content END"
     parsed = once(known, wrapped=V.parse_with_end(text))
-    parsed = once(parsed, root=V.only_value(F.col("wrapped")))
-    items = F.coalesce(V.items(F.col("root")), F.array("root"))
-    judged = F.transform(F.transform(items, _read), _judge)
-    parsed = once(parsed, judged=F.when(F.col("root").isNotNull(), judged))
+    parsed = once(parsed, root=V.only_value("wrapped"))
+    elements = f"coalesce({V.items('root')}, array(root))"
+    for shape in (f"(e, i) -> {_READ}", f"e -> {_TYPED}", f"e -> {_JUDGED}"):
+        elements = f"transform({elements}, {shape})"
+    parsed = once(parsed, judged=f"CASE WHEN root IS NOT NULL THEN {elements} END")
     reason = (
-        F.when(F.col("known_source").isNull(), UNKNOWN_SOURCE)
-        .when(F.col("root").isNull(), BAD_JSON)
-        .when(F.exists("judged", lambda e: e["bad"]), BAD_ELEMENT)
+        f"CASE WHEN known_source IS NULL THEN '{UNKNOWN_SOURCE}' WHEN root IS NULL THEN '{BAD_JSON}' "
+        f"WHEN exists(judged, e -> e.bad) THEN '{BAD_ELEMENT}' END"
     )
-    return once(parsed, reason=reason).select(
+    return once(parsed, reason=reason).selectExpr(
         "record_id",
-        F.coalesce("known_source", "given_source").alias("source"),
+        "coalesce(known_source, given_source) AS source",
         "loaded_at",
         "reason",
-        F.when(F.col("reason").isNull(), F.col("judged")).alias("elements"),
+        "CASE WHEN reason IS NULL THEN judged END AS elements",
     )
 
 
 def parsed_quotes(outcomes: DataFrame) -> DataFrame:
     """The quotes of the accepted records."""
-    element = F.col("element")
     return (
-        outcomes.select("source", "loaded_at", "record_id", F.explode("elements").alias("element"))
-        .where(element["wanted"] & ~element["out_of_range"])
-        .select(
-            element["ticker"].alias("ticker"),
-            element["date"].alias("date"),
-            *(element[field].alias(field) for field in NUMBERS),
-            "source",
-            "loaded_at",
-            "record_id",
-            element["element_pos"].alias("element_pos"),
-        )
+        outcomes.selectExpr("source", "loaded_at", "record_id", "inline(elements)")
+        .where("wanted AND NOT out_of_range")
+        .select(*S.QUOTES.fieldNames())
     )
 
 
 def rejects(outcomes: DataFrame) -> DataFrame:
     """Rejected records, and single elements no fact column can hold, with the reason."""
-    nowhere = F.lit(None).cast("int")
-    whole = F.array(F.struct(nowhere.alias("element_pos"), F.col("reason").alias("why")))
-    single = F.transform(
-        F.filter("elements", lambda e: e["out_of_range"]),
-        lambda e: F.struct(e["element_pos"].alias("element_pos"), F.lit(OUT_OF_RANGE).alias("why")),
+    whole = "array(named_struct('element_pos', CAST(NULL AS INT), 'why', reason))"
+    single = (
+        "transform(filter(elements, e -> e.out_of_range), "
+        f"e -> named_struct('element_pos', e.element_pos, 'why', '{OUT_OF_RANGE}'))"
     )
-    return outcomes.select(
-        "record_id",
-        "source",
-        F.inline(F.when(F.col("reason").isNotNull(), whole).otherwise(single)),
-    ).withColumnRenamed("why", "reason")
+    found = f"inline(CASE WHEN reason IS NOT NULL THEN {whole} ELSE {single} END)"
+    return outcomes.selectExpr("record_id", "source", found).withColumnRenamed("why", "reason")
 
 
 def accepted_ids(outcomes: DataFrame) -> DataFrame:
-    return outcomes.where("reason is null").select("record_id")
+    return outcomes.where("reason IS NULL").select("record_id")
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     """The run counters of a batch of records, one row."""
 
-    def elements_where(test) -> Column:
-        return F.coalesce(F.sum(F.size(F.filter("elements", test))), F.lit(0))
+    def elements_where(test: str) -> str:
+        return f"coalesce(sum(size(filter(elements, e -> {test}))), 0)"
 
-    return outcomes.agg(
-        F.count("*").alias("records"),
-        F.count_if(F.col("reason").isNull()).alias("records_processed"),
-        F.count_if(F.col("reason").isNotNull()).alias("records_rejected"),
-        elements_where(lambda e: e["wanted"] & ~e["out_of_range"]).alias("quotes_parsed"),
-        elements_where(lambda e: ~e["wanted"]).alias("elements_skipped"),
-        elements_where(lambda e: e["out_of_range"]).alias("elements_rejected"),
-    )
+    counters = {
+        "records": "count(*)",
+        "records_processed": "count_if(reason IS NULL)",
+        "records_rejected": "count_if(reason IS NOT NULL)",
+        "quotes_parsed": elements_where("e.wanted AND NOT e.out_of_range"),
+        "elements_skipped": elements_where("NOT e.wanted"),
+        "elements_rejected": elements_where("e.out_of_range"),
+    }
+    return outcomes.agg(*(F.expr(counter).alias(name) for name, counter in counters.items()))
 
 
 def outcomes_by_source(outcomes: DataFrame) -> DataFrame:
     """Records and quotes per source and outcome."""
-    quotes = F.coalesce(F.size(F.filter("elements", lambda e: e["wanted"] & ~e["out_of_range"])), F.lit(0))
-    return outcomes.groupBy("source", F.coalesce("reason", F.lit("processed")).alias("outcome")).agg(
-        F.count("*").alias("records"), F.sum(quotes).alias("quotes")
+    quotes = "coalesce(size(filter(elements, e -> e.wanted AND NOT e.out_of_range)), 0)"
+    counted = outcomes.selectExpr(
+        "source", "coalesce(reason, 'processed') AS outcome", f"{quotes} AS quotes"
+    )
+    return counted.groupBy("source", "outcome").agg(
+        F.count("*").alias("records"), F.sum("quotes").alias("quotes")
     )

@@ -27,28 +27,15 @@ def domain_violations(
 
     Rules are the required columns, the longest texts, and any allowed values given.
     """
-    rules = {
-        **{("required", name): F.col(name).isNull() for name in S.REQUIRED.get(table, ())},
-        **{
-            ("length", name): F.length(name) > limit
-            for name, limit in S.MAX_LENGTH.get(table, {}).items()
-        },
-        **{
-            ("allowed", name): ~F.lower(name).isin(*(value.lower() for value in values))
-            for name, values in (allowed or {}).items()
-        },
-    }
-    counts = rows.agg(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(table).alias("table_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit(rule).alias("rule"),
-                    F.count_if(broken).alias("n_rows"),
-                )
-                for (rule, column), broken in rules.items()
-            )
-        ).alias("checks")
+    rules = [(name, "required", f"{name} IS NULL") for name in S.REQUIRED.get(table, ())]
+    for name, limit in S.MAX_LENGTH.get(table, {}).items():
+        rules.append((name, "length", f"length({name}) > {limit}"))
+    for name, values in (allowed or {}).items():
+        listed = ", ".join(f"'{value.lower()}'" for value in values)
+        rules.append((name, "allowed", f"lower({name}) NOT IN ({listed})"))
+    checks = ", ".join(
+        f"named_struct('table_name', '{table}', 'column_name', '{name}', 'rule', '{rule}', "
+        f"'n_rows', count_if({broken}))"
+        for name, rule, broken in rules
     )
-    return counts.select(F.inline("checks"))
+    return rows.agg(F.expr(f"array({checks})").alias("checks")).selectExpr("inline(checks)")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.operators.keys import recency
@@ -12,9 +14,9 @@ SMA_ROWS = 20
 
 def latest_close(facts: DataFrame) -> DataFrame:
     """The newest close of each asset, by a hash aggregate combined before the exchange."""
-    newest = recency(F.col("date_key"), F.col("source_key"))
     return facts.groupBy("asset_key").agg(
-        F.max_by("close_price", newest).alias("last_close"), F.max("date_key").alias("date_key")
+        F.expr(f"max_by(close_price, {recency()})").alias("last_close"),
+        F.max("date_key").alias("date_key"),
     )
 
 
@@ -24,46 +26,32 @@ def last_two_days(facts: DataFrame) -> DataFrame:
     A day with several sources is read from the lowest source key. Only the rows of an
     asset's two newest days leave a task, so a long history costs the exchange nothing.
     """
-    by_day = Window.partitionBy("asset_key").orderBy(F.desc("date_key"))
-    recent = (
-        facts.select("asset_key", "date_key", "source_key", "close_price")
-        .withColumn("_day", F.dense_rank().over(by_day))
-        .where("_day <= 2")
-    )
-
-    def close_of(day: int) -> Column:
-        return F.min_by("close_price", F.when(F.col("_day") == day, F.col("source_key")))
-
-    return recent.groupBy("asset_key").agg(
-        close_of(1).alias("last_close"), close_of(2).alias("previous_close")
+    by_day = "dense_rank() OVER (PARTITION BY asset_key ORDER BY date_key DESC)"
+    recent = facts.selectExpr("asset_key", "source_key", "close_price", f"{by_day} AS day")
+    return recent.where("day <= 2").groupBy("asset_key").agg(
+        F.expr("min_by(close_price, CASE WHEN day = 1 THEN source_key END)").alias("last_close"),
+        F.expr("min_by(close_price, CASE WHEN day = 2 THEN source_key END)").alias("previous_close"),
     )
 
 
 def last_two_rows(facts: DataFrame) -> DataFrame:
     """As ``last_two_days`` but by row: the second source of the newest day counts as previous."""
-    by_row = Window.partitionBy("asset_key").orderBy(F.desc("date_key"), "source_key")
-    recent = (
-        facts.select("asset_key", "date_key", "source_key", "close_price")
-        .withColumn("_row", F.row_number().over(by_row))
-        .where("_row <= 2")
+    by_row = "row_number() OVER (PARTITION BY asset_key ORDER BY date_key DESC, source_key)"
+    recent = facts.selectExpr("asset_key", "close_price", f"{by_row} AS nth")
+    return recent.where("nth <= 2").groupBy("asset_key").agg(
+        F.expr("max(close_price) FILTER (WHERE nth = 1)").alias("last_close"),
+        F.expr("max(close_price) FILTER (WHERE nth = 2)").alias("previous_close"),
     )
-    return recent.groupBy("asset_key").agg(
-        F.max(F.when(F.col("_row") == 1, F.col("close_price"))).alias("last_close"),
-        F.max(F.when(F.col("_row") == 2, F.col("close_price"))).alias("previous_close"),
-    )
-
 
-def newest_rows(rows: DataFrame, by: str, order: list[Column], count: int) -> DataFrame:
-    """The first ``count`` rows of each group in ``order``, cut before the exchange too."""
-    ranked = Window.partitionBy(by).orderBy(*order)
-    return rows.withColumn("_row", F.row_number().over(ranked)).where(F.col("_row") <= count).drop("_row")
 
-
-def moving_average(value: str, by: str, order: list[Column], rows: int = SMA_ROWS) -> Column:
+def moving_average(value: str, by: str, order: Sequence[str], rows: int = SMA_ROWS) -> str:
     """Mean of the last ``rows`` values, floor(x * 100 + 0.5) / 100; null until there are that many.
 
-    The mean is taken as an exact decimal sum. Give it groups of bounded length.
+    The mean is taken from an exact decimal sum. Give it groups of bounded length.
     """
-    window = Window.partitionBy(by).orderBy(*order).rowsBetween(1 - rows, 0)
-    cents = F.floor(F.sum(value).over(window) * 100 / rows + F.lit("0.5").cast("decimal(2,1)"))
-    return F.when(F.count(F.lit(1)).over(window) == rows, (cents / 100).cast("decimal(18,2)"))
+    window = (
+        f"OVER (PARTITION BY {by} ORDER BY {', '.join(order)} "
+        f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    )
+    cents = f"floor(sum({value}) {window} * 100 / {rows} + 0.5)"
+    return f"CASE WHEN count(*) {window} = {rows} THEN CAST({cents} / 100 AS DECIMAL(18,2)) END"

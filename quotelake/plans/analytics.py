@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.calendar import clamp
 from quotelake.functions.rates import (
-    direction, no_places, position_band, range_position, signed_percent, two_places,
+    direction, grouped, position_band, range_position, signed_percent,
 )
 from quotelake.operators.series import SMA_ROWS, moving_average
 from quotelake.plans.marts import COMPARE_DAYS, comparative_rows
@@ -18,21 +20,18 @@ def asset_sma(histories: DataFrame, rows: int = SMA_ROWS) -> DataFrame:
 
     Takes histories of limited length, so a group is at most that long.
     """
-    in_time = [F.col("date").asc(), F.col("source_key").desc()]
-    return histories.select(
-        "ticker", "date", "source_key", "close",
-        moving_average("close", "ticker", in_time, rows).alias("sma"),
-    )
+    average = moving_average("close", "ticker", ["date", "source_key DESC"], rows)
+    return histories.selectExpr("ticker", "date", "source_key", "close", f"{average} AS sma")
 
 
 def asset_header(summary: DataFrame, tickers: DataFrame) -> DataFrame:
     """The headline of every requested ticker; an unknown one shows its ticker and zeros."""
-    return tickers.select("ticker").distinct().join(summary, "ticker", "left").select(
+    return tickers.select("ticker").distinct().join(summary, "ticker", "left").selectExpr(
         "ticker",
-        F.coalesce("name", "ticker").alias("name"),
-        F.coalesce("asset_type", F.lit("")).alias("asset_type"),
-        F.coalesce("last_close", F.lit(0)).alias("last_close"),
-        F.coalesce("change_percent", F.lit(0)).alias("change_percent"),
+        "coalesce(name, ticker) AS name",
+        "coalesce(asset_type, '') AS asset_type",
+        "coalesce(last_close, 0) AS last_close",
+        "coalesce(change_percent, 0) AS change_percent",
     )
 
 
@@ -44,7 +43,9 @@ def compare_dates(returns: DataFrame) -> DataFrame:
     return returns.select("date").distinct().orderBy("date")
 
 
-def _one_per_day(facts: DataFrame, assets: DataFrame, days: int, as_of) -> DataFrame:
+def _one_per_day(
+    facts: DataFrame, assets: DataFrame, days: int, as_of: dt.date | None
+) -> DataFrame:
     """One value per ticker and day: the one of the last source."""
     return (
         comparative_rows(facts, assets, days, as_of)
@@ -55,81 +56,87 @@ def _one_per_day(facts: DataFrame, assets: DataFrame, days: int, as_of) -> DataF
 
 def _series(daily: DataFrame) -> DataFrame:
     # One entry per day of the window: the map of a ticker is bounded by the calendar.
-    pairs = F.collect_list(F.struct("date", "normalized_return"))
-    return daily.groupBy("ticker").agg(F.map_from_entries(F.array_sort(pairs)).alias("series"))
+    pairs = "array_sort(collect_list(struct(date, normalized_return)))"
+    return daily.groupBy("ticker").agg(F.expr(f"map_from_entries({pairs})").alias("series"))
 
 
-def compare_series(facts: DataFrame, assets: DataFrame, days: int = 90, as_of=None) -> DataFrame:
+def compare_series(
+    facts: DataFrame, assets: DataFrame, days: int = 90, as_of: dt.date | None = None
+) -> DataFrame:
     """Each ticker's returns as one date -> value map in date order."""
     return _series(_one_per_day(facts, assets, days, as_of))
 
 
-def compare_grid(facts: DataFrame, assets: DataFrame, days: int = 90, as_of=None) -> DataFrame:
+def compare_grid(
+    facts: DataFrame, assets: DataFrame, days: int = 90, as_of: dt.date | None = None
+) -> DataFrame:
     """Every ticker on every date that any ticker has; null where it has no quote.
 
     The dates of the window are one small array, and every ticker's map is read at each of
     them, so no join pairs tickers with dates.
     """
     daily = _one_per_day(facts, assets, days, as_of)
-    dates = daily.select("date").distinct().agg(F.array_sort(F.collect_list("date"))).scalar()
+    dates = daily.select("date").distinct().agg(F.expr("array_sort(collect_list(date))")).scalar()
     return (
         _series(daily)
         .select("ticker", "series", F.explode(dates).alias("date"))
-        .select("ticker", "date", F.try_element_at("series", F.col("date")).alias("normalized_return"))
+        .selectExpr("ticker", "date", "try_element_at(series, date) AS normalized_return")
     )
 
 
-def compare_pivot(facts: DataFrame, assets: DataFrame, as_of, days: int = 90) -> DataFrame:
+def compare_pivot(
+    facts: DataFrame, assets: DataFrame, days: int = 90, as_of: dt.date | None = None
+) -> DataFrame:
     """One row per ticker with its returns side by side, one column per day back from
     ``as_of``. The columns follow from ``days``, so tickers may be any number."""
     span = clamp(days, *COMPARE_DAYS)
-    end = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    daily = _one_per_day(facts, assets, days, as_of).withColumn("day", F.date_diff(end, F.col("date")))
-    wide = daily.groupBy("ticker").pivot("day", list(range(span + 1))).agg(F.first("normalized_return"))
-    return wide.select("ticker", *(F.col(f"`{day}`").alias(f"day_{day}") for day in range(span + 1)))
+    end = "current_date()" if as_of is None else f"DATE '{as_of}'"
+    daily = _one_per_day(facts, assets, days, as_of).selectExpr(
+        "ticker", f"date_diff({end}, date) AS day", "normalized_return"
+    )
+    wide = daily.groupBy("ticker").pivot("day", list(range(span + 1)))
+    columns = (f"`{day}` AS day_{day}" for day in range(span + 1))
+    return wide.agg(F.first("normalized_return")).selectExpr("ticker", *columns)
 
 
 def week52_position(week52: DataFrame) -> DataFrame:
     """The screener with the place of the last close between low and high."""
-    placed = week52.withColumn(
-        "position", range_position(F.col("last_close"), F.col("low_52w"), F.col("high_52w"))
-    )
-    return placed.select(
+    position = range_position("last_close", "low_52w", "high_52w")
+    return week52.selectExpr("*", f"{position} AS position").selectExpr(
         "*",
-        position_band(F.col("position")).alias("band"),
-        direction(F.col("pct_from_high")).alias("high_direction"),
-        direction(F.col("pct_from_low")).alias("low_direction"),
+        f"{position_band('position')} AS band",
+        f"{direction('pct_from_high')} AS high_direction",
+        f"{direction('pct_from_low')} AS low_direction",
     )
 
 
 def portfolio_display(summary: DataFrame) -> DataFrame:
     """The summary as the dashboard prints it."""
-    return summary.select(
+    return summary.selectExpr(
         "ticker", "name", "asset_type",
-        two_places(F.col("last_close")).alias("last_close"),
-        two_places(F.col("previous_close")).alias("previous_close"),
-        signed_percent(F.col("change_percent")).alias("change_percent"),
-        direction(F.col("change_percent")).alias("direction"),
+        f"{grouped('last_close')} AS last_close",
+        f"{grouped('previous_close')} AS previous_close",
+        f"{signed_percent('change_percent')} AS change_percent",
+        f"{direction('change_percent')} AS direction",
     )
 
 
 def week52_display(positions: DataFrame) -> DataFrame:
     """The screener as its page prints it; the distance from the low always has a plus."""
-    return positions.select(
+    return positions.selectExpr(
         "ticker", "name", "asset_type",
-        *(two_places(F.col(name)).alias(name) for name in ("last_close", "high_52w", "low_52w")),
-        signed_percent(F.col("pct_from_high")).alias("pct_from_high"),
-        F.concat(F.lit("+"), two_places(F.col("pct_from_low")), F.lit("%")).alias("pct_from_low"),
-        F.concat(F.col("position").cast("string"), F.lit("%")).alias("position"),
+        *(f"{grouped(name)} AS {name}" for name in ("last_close", "high_52w", "low_52w")),
+        f"{signed_percent('pct_from_high')} AS pct_from_high",
+        f"concat('+', {grouped('pct_from_low')}, '%') AS pct_from_low",
+        "concat(position, '%') AS position",
         "band",
     )
 
 
 def history_display(histories: DataFrame) -> DataFrame:
     """Histories as the asset page prints them."""
-    return histories.select(
-        "ticker", "source_key",
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        *(two_places(F.col(name)).alias(name) for name in ("open", "high", "low", "close")),
-        no_places(F.col("volume")).alias("volume"),
+    return histories.selectExpr(
+        "ticker", "source_key", "date_format(date, 'yyyy-MM-dd') AS date",
+        *(f"{grouped(name)} AS {name}" for name in ("open", "high", "low", "close")),
+        f"{grouped('volume', 0)} AS volume",
     )

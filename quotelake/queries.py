@@ -10,17 +10,16 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotelake import schemas as S
 from quotelake.operators import dims, facts, parse, quality, series
+from quotelake.operators.keys import fact_id
 from quotelake.plans import analytics, etl, marts
 from quotelake.session import shared_dir
 from quotelake.sources import lake as lakes
 from quotelake.sources import payloads as feeds
 from quotelake.sources import tables
-from quotelake.sources.warehouse import Warehouse
+from quotelake.sources.warehouse import Warehouse, no_rows
 from quotelake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,16 +42,16 @@ def queries() -> dict[str, Query]:
 
 
 def plain(rows: DataFrame) -> DataFrame:
-    def column(field: T.StructField):
-        if isinstance(field.dataType, T.DecimalType):
-            return F.col(field.name).cast("double").alias(field.name)
-        if isinstance(field.dataType, T.DateType):
-            return F.date_format(field.name, "yyyy-MM-dd").alias(field.name)
-        if isinstance(field.dataType, T.TimestampNTZType):
-            return F.date_format(field.name, "yyyy-MM-dd HH:mm:ss").alias(field.name)
-        return F.col(field.name)
-
-    return rows.select(*(column(field) for field in rows.schema.fields))
+    forms = {
+        "date": "date_format({0}, 'yyyy-MM-dd') AS {0}",
+        "timestamp_ntz": "date_format({0}, 'yyyy-MM-dd HH:mm:ss') AS {0}",
+    }
+    return rows.selectExpr(
+        *(
+            forms.get(kind, "double({0}) AS {0}" if kind.startswith("decimal") else "{0}").format(name)
+            for name, kind in rows.dtypes
+        )
+    )
 
 
 # Marts
@@ -156,16 +155,17 @@ def compare_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def compare_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    quotes, assets, days, as_of = _compare(spark, folder)
-    return plain(analytics.compare_pivot(quotes, assets, as_of, days))
+    return plain(analytics.compare_pivot(*_compare(spark, folder)))
 
 
 @_query
 def compare_series(spark: SparkSession, folder: str) -> DataFrame:
     """The maps as text: date=value entries in date order."""
     rows = analytics.compare_series(*_compare(spark, folder))
-    entry = lambda e: F.concat(F.date_format(e["key"], "yyyy-MM-dd"), F.lit("="), e["value"].cast("decimal(20,2)"))
-    return rows.select("ticker", F.array_join(F.transform(F.map_entries("series"), entry), ";").alias("series"))
+    entry = "concat(date_format(e.key, 'yyyy-MM-dd'), '=', CAST(e.value AS DECIMAL(20,2)))"
+    return rows.selectExpr(
+        "ticker", f"array_join(transform(map_entries(series), e -> {entry}), ';') AS series"
+    )
 
 
 @_query
@@ -211,23 +211,23 @@ def active_assets(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The asset of every order key read as a ticker; most have none."""
-    wanted = tables.table(spark, folder, "orders").select(F.concat(F.lit("P"), "o_orderkey").alias("ticker"))
+    wanted = tables.table(spark, folder, "orders").selectExpr("concat('P', o_orderkey) AS ticker")
     return plain(dims.lookup(tables.assets(spark, folder), "ticker", wanted))
 
 
 @_query
 def dim_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Date rows that quotes and events together need."""
-    events = tables.table(spark, folder, "events").select(F.col("ts").cast("date").alias("date"))
+    events = tables.table(spark, folder, "events").selectExpr("CAST(ts AS DATE) AS date")
     wanted = tables.quotes(spark, folder).select("date").union(events)
-    stored = spark.createDataFrame([], S.DIM_DATES)
+    stored = no_rows(spark, S.DIM_DATES)
     return plain(dims.missing_dates(stored, wanted))
 
 
 @_query
 def dim_dates_missing(spark: SparkSession, folder: str) -> DataFrame:
     """Order dates that the date dimension of the quotes lacks."""
-    wanted = tables.table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    wanted = tables.table(spark, folder, "orders").selectExpr("CAST(o_orderdate AS DATE) AS date")
     return plain(dims.missing_dates(tables.dates(spark, folder), wanted))
 
 
@@ -274,7 +274,7 @@ def fact_dedup_last(spark: SparkSession, folder: str) -> DataFrame:
 def _split_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All facts as incoming ones, and those before a day as the stored ones."""
     incoming = tables.facts(spark, folder)
-    return incoming, incoming.where(F.col("date_key") < STORED_BEFORE)
+    return incoming, incoming.where(f"date_key < {STORED_BEFORE}")
 
 
 @_query
@@ -289,7 +289,7 @@ def fact_existing(spark: SparkSession, folder: str) -> DataFrame:
 
 def _two_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     quotes = tables.keyed_quotes(spark, folder)
-    return quotes.where(F.col("status") == STORED_STATUS), quotes.where(F.col("status") != STORED_STATUS)
+    return quotes.where(f"status = '{STORED_STATUS}'"), quotes.where(f"status <> '{STORED_STATUS}'")
 
 
 @_query
@@ -320,8 +320,7 @@ def fact_replace(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def fact_delta_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The slice of the fact behind the last id of the key range of even halves."""
-    middle = facts.fact_id(F.lit(0), F.lit(STORED_BEFORE), F.lit(0))
-    return plain(tables.facts(spark, folder).where(F.col("id") > middle))
+    return plain(tables.facts(spark, folder).where(f"id > {fact_id('0', STORED_BEFORE, '0')}"))
 
 
 @_query
@@ -423,7 +422,7 @@ def normalize_union(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def quotes_to_json(spark: SparkSession, folder: str) -> DataFrame:
     normalized = feeds.chart_quotes(tables.chart_payloads(spark, folder))
-    return normalized.select("payload_id", feeds.quotes_to_json(F.col("quotes")).alias("raw_content"))
+    return normalized.selectExpr("payload_id", f"{feeds.quotes_to_json('quotes')} AS raw_content")
 
 
 @_query
@@ -491,10 +490,13 @@ def etl_run_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def stream_load(spark: SparkSession, folder: str) -> DataFrame:
-    """The lake landed as files and loaded by the stream, read back with its dimensions."""
-    landing = shared_dir(spark, "landing")
-    tables.lake(spark, folder).repartitionByRange(4, "loaded_at").write.parquet(landing)
+    """The lake landed as files in two steps, each picked up by the stream where it left
+    off, read back with its dimensions."""
+    landing, checkpoint = shared_dir(spark, "landing"), shared_dir(spark, "checkpoint")
     house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
-    records = ingest.landing_stream(spark, landing, files_per_batch=2)
-    ingest.start_ingest(house, records, shared_dir(spark, "checkpoint")).awaitTermination()
-    return plain(_readable(Warehouse(spark, house.root)))
+    lake = tables.lake(spark, folder)
+    for part in (lake.where("is_processed"), lake.where("not is_processed")):
+        part.write.mode("append").parquet(landing)
+        records = ingest.landing_stream(spark, landing)
+        ingest.start_ingest(house, records, checkpoint).awaitTermination()
+    return plain(_readable(house))

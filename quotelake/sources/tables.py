@@ -1,18 +1,18 @@
 """The benchmark tables read as this package's model.
 
-The tables hold no market data, so orders lines stand in for quotes, parts for assets
-and events for lake records. All of it is projection over whole tables.
+The tables hold no market data, so order lines stand in for quotes, parts for assets and
+events for lake records. All of it is projection over whole tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake import schemas as S
-from quotelake.functions.calendar import calendar_columns, date_key
+from quotelake.functions.calendar import calendar_columns, date_key, key_year, stamp
 from quotelake.operators.facts import first_facts
 from quotelake.sources.payloads import PAYLOADS
 
@@ -26,6 +26,8 @@ LINE_SOURCES = ("A", "N", "R")
 # Events before this day count as processed in earlier runs.
 PROCESSED_BEFORE = dt.datetime(2024, 1, 8)
 CREATED = dt.datetime(1995, 1, 1)
+# Chart stamps are taken at 14:30 UTC.
+CHART_SECOND = 52_200
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,61 +35,65 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def assets(spark: SparkSession, folder: str) -> DataFrame:
-    created = F.lit(CREATED).cast(S.STAMP)
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").cast("int").alias("asset_key"),
-        F.concat(F.lit("P"), "p_partkey").alias("ticker"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("asset_type"),
-        F.lit(None).cast("string").alias("exchange"),
-        (F.col("p_size") >= ACTIVE_FROM_SIZE).alias("is_active"),
-        created.alias("created_at"),
-        created.alias("updated_at"),
+    return table(spark, folder, "part").selectExpr(
+        "int(p_partkey) AS asset_key",
+        "concat('P', p_partkey) AS ticker",
+        "p_name AS name",
+        "p_type AS asset_type",
+        "CAST(NULL AS STRING) AS exchange",
+        f"p_size >= {ACTIVE_FROM_SIZE} AS is_active",
+        f"{stamp(CREATED)} AS created_at",
+        f"{stamp(CREATED)} AS updated_at",
     )
 
 
 def sources(spark: SparkSession) -> DataFrame:
-    rows = [(key, name, "", True) for key, name in enumerate(LINE_SOURCES, start=1)]
-    return spark.createDataFrame(rows, S.DIM_SOURCES)
+    names = ", ".join(f"'{name}'" for name in LINE_SOURCES)
+    return spark.range(1, numPartitions=1).selectExpr(f"posexplode(array({names}))").selectExpr(
+        "pos + 1 AS source_key", "col AS source_name", "'' AS base_url", "true AS is_active"
+    )
 
 
 def dates(spark: SparkSession, folder: str) -> DataFrame:
-    days = table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
-    return days.distinct().select(*calendar_columns(F.col("date")))
+    days = table(spark, folder, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS date")
+    return days.distinct().selectExpr(*calendar_columns("date"))
+
+
+def _lines(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    price = "CAST(l_extendedprice AS DECIMAL(12,2))"
+    low = f"CAST({price} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,8))"
+    high = f"CAST({price} * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,8))"
+    return table(spark, folder, "lineitem").selectExpr(
+        "concat('P', l_partkey) AS ticker",
+        "CAST(l_shipdate AS DATE) AS date",
+        f"{low} AS open",
+        f"{high} AS high",
+        f"{low} AS low",
+        f"CAST({price} AS DECIMAL(18,8)) AS close",
+        "CAST(l_quantity AS DECIMAL(18,4)) AS volume",
+        "l_returnflag AS source",
+        "l_shipdate + make_dt_interval(l_linenumber) AS loaded_at",
+        "l_orderkey AS record_id",
+        "l_linenumber AS element_pos",
+        "l_linestatus AS status",
+        *more,
+    )
 
 
 def quotes(spark: SparkSession, folder: str) -> DataFrame:
     """One quote per order line: the price is the close, discount and tax make the range."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    low = price * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    high = price * (1 + F.col("l_tax").cast("decimal(4,2)"))
-    return table(spark, folder, "lineitem").select(
-        F.concat(F.lit("P"), "l_partkey").alias("ticker"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        low.cast(S.PRICE).alias("open"),
-        high.cast(S.PRICE).alias("high"),
-        low.cast(S.PRICE).alias("low"),
-        price.cast(S.PRICE).alias("close"),
-        F.col("l_quantity").cast(S.VOLUME).alias("volume"),
-        F.col("l_returnflag").alias("source"),
-        F.expr("l_shipdate + make_dt_interval(l_linenumber)").alias("loaded_at"),
-        F.col("l_orderkey").alias("record_id"),
-        F.col("l_linenumber").alias("element_pos"),
-        F.col("l_linestatus").alias("status"),
-    )
-
-
-def source_key(name: Column) -> Column:
-    return F.array_position(F.lit(list(LINE_SOURCES)), name).cast("int")
+    return _lines(spark, folder)
 
 
 def keyed_quotes(spark: SparkSession, folder: str) -> DataFrame:
     """Quotes with their keys, which the tables already hold."""
-    return quotes(spark, folder).select(
-        "*",
-        F.substring("ticker", 2, 20).cast("int").alias("asset_key"),
-        date_key(F.col("date")).alias("date_key"),
-        source_key(F.col("source")).alias("source_key"),
+    cases = " ".join(f"WHEN '{name}' THEN {key}" for key, name in enumerate(LINE_SOURCES, start=1))
+    return _lines(
+        spark,
+        folder,
+        "int(l_partkey) AS asset_key",
+        f"{date_key('l_shipdate')} AS date_key",
+        f"CASE l_returnflag {cases} END AS source_key",
     )
 
 
@@ -98,43 +104,30 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def last_day(spark: SparkSession, folder: str) -> dt.date:
     """The newest quote date: "today" for these tables. One value reaches the driver."""
-    newest = table(spark, folder, "lineitem").agg(F.max("l_shipdate").cast("date"))
-    return newest.first()[0]
+    return table(spark, folder, "lineitem").selectExpr("CAST(max(l_shipdate) AS DATE)").first()[0]
 
 
 def lake(spark: SparkSession, folder: str) -> DataFrame:
     """One lake record per event; the event type decides what is right or wrong with it."""
-    events = table(spark, folder, "events")
-    kind = F.col("event_type")
-    price = F.col("value").cast("decimal(18,2)").cast("string")
-    head = F.concat(
-        F.lit('{"ticker":"U'), "user_id", F.lit('","date":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"')
-    )
-    full = F.concat(
-        head,
-        *(F.concat(F.lit(f',"{name}":'), price) for name in ("open", "high", "low", "close")),
-        F.lit(',"volume":1}'),
-    )
-    content = (
-        F.when(kind == "click", F.concat(F.lit('[{"ticker":" ","date":"2024-01-01"},'), full, F.lit("]")))
-        .when(kind == "signup", F.concat(head, F.lit(',"close":'), price, F.lit("}")))
-        .when(kind == "purchase", F.concat(F.lit("["), full, F.lit(","), head, F.lit(',"close":null}]')))
-        .when(kind == "error", F.concat(F.lit("["), full))
-        .otherwise(F.concat(F.lit("["), full, F.lit("]")))
-    )
-    source = (
-        F.when(kind == "click", F.lit(S.YAHOO.lower()))
-        .when(kind == "view", F.lit("UnknownFeed"))
-        .when(kind == "signup", F.lit(S.COINGECKO))
-        .otherwise(F.lit(S.YAHOO))
-    )
-    return events.select(
-        F.col("event_id").alias("record_id"),
-        source.alias("source"),
-        source.alias("endpoint"),
-        content.alias("raw_content"),
-        F.col("ts").alias("loaded_at"),
-        (F.col("ts") < F.lit(PROCESSED_BEFORE).cast(S.STAMP)).alias("is_processed"),
+    price = "CAST(value AS DECIMAL(18,2))"
+    head = """'{"ticker":"U', user_id, '","date":"', date_format(ts, 'yyyy-MM-dd'), '"'"""
+    prices = ", ".join(f"""',"{name}":', {price}""" for name in ("open", "high", "low", "close"))
+    full = f"""{head}, {prices}, ',"volume":1}}'"""
+    content = f"""CASE event_type
+        WHEN 'click' THEN concat('[{{"ticker":" ","date":"2024-01-01"}},', {full}, ']')
+        WHEN 'signup' THEN concat({head}, ',"close":', {price}, '}}')
+        WHEN 'purchase' THEN concat('[', {full}, ',', {head}, ',"close":null}}]')
+        WHEN 'error' THEN concat('[', {full})
+        ELSE concat('[', {full}, ']') END"""
+    source = f"""CASE event_type WHEN 'click' THEN '{S.YAHOO.lower()}' WHEN 'view' THEN 'UnknownFeed'
+        WHEN 'signup' THEN '{S.COINGECKO}' ELSE '{S.YAHOO}' END"""
+    return table(spark, folder, "events").selectExpr(
+        "event_id AS record_id",
+        f"{source} AS source",
+        f"{source} AS endpoint",
+        f"{content} AS raw_content",
+        "ts AS loaded_at",
+        f"ts < {stamp(PROCESSED_BEFORE)} AS is_processed",
     )
 
 
@@ -144,36 +137,34 @@ def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
     A payload holds at most one quote per day of its year, so its size is bounded. A price
     equal to the close is sent as null.
     """
-    point = F.struct(
-        F.unix_date(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")).cast("bigint").alias("day"),
-        *(
-            F.when(F.col(f"{name}_price") != F.col("close_price"), F.col(f"{name}_price")).alias(name)
-            for name in ("open", "high", "low")
-        ),
-        F.col("close_price").alias("close"),
-        "volume",
+    other = ", ".join(
+        f"'{name}', CASE WHEN {name}_price <> close_price THEN {name}_price END"
+        for name in ("open", "high", "low")
+    )
+    point = (
+        "named_struct('day', bigint(unix_date(to_date(string(date_key), 'yyyyMMdd'))), "
+        f"{other}, 'close', close_price, 'volume', volume)"
     )
-    year = F.floor(F.col("date_key") / 10000).cast("int")
-    points = (
+    payloads = (
         facts(spark, folder)
-        .groupBy("asset_key", "source_key", year.alias("year"))
-        .agg(F.array_sort(F.collect_list(point)).alias("points"))
+        .selectExpr("asset_key", "source_key", f"{key_year('date_key')} AS year", f"{point} AS point")
+        .groupBy("asset_key", "source_key", "year")
+        .agg(F.expr("array_sort(collect_list(point))").alias("points"))
     )
-
-    def series(name: str) -> Column:
-        return F.transform("points", lambda p: p[name])
-
-    quote = F.struct(*(series(name).alias(name) for name in ("open", "high", "low", "close", "volume")))
-    result = F.struct(
-        F.transform("points", lambda p: p["day"] * 86400 + 52200).alias("timestamp"),
-        F.struct(F.array(quote).alias("quote")).alias("indicators"),
+    series = ", ".join(
+        f"'{name}', transform(points, p -> p.{name})" for name in ("open", "high", "low", "close", "volume")
+    )
+    stamps = f"transform(points, p -> p.day * 86400 + {CHART_SECOND})"
+    result = (
+        f"named_struct('timestamp', {stamps}, "
+        f"'indicators', named_struct('quote', array(named_struct({series}))))"
     )
-    return points.select(
-        ((F.col("asset_key").cast("bigint") * 10 + F.col("source_key")) * 10000 + F.col("year")).alias("payload_id"),
-        F.lit(S.YAHOO).alias("source"),
-        F.concat(F.lit("P"), "asset_key").alias("ticker"),
-        F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart"))).alias("payload"),
-        F.make_timestamp_ntz(F.col("year") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("loaded_at"),
+    return payloads.selectExpr(
+        "(bigint(asset_key) * 10 + source_key) * 10000 + year AS payload_id",
+        f"'{S.YAHOO}' AS source",
+        "concat('P', asset_key) AS ticker",
+        f"to_json(named_struct('chart', named_struct('result', array({result})))) AS payload",
+        "make_timestamp_ntz(year + 1, 1, 1, 0, 0, 0) AS loaded_at",
     ).select(*PAYLOADS.fieldNames())
 
 
@@ -183,43 +174,37 @@ def pair_payloads(spark: SparkSession, folder: str) -> DataFrame:
     The price of a day is its highest value and the volume its number of events, so a
     payload has at most 31 pairs. The volume of the newest day is not out yet.
     """
-    day = F.col("ts").cast("date")
     daily = (
         table(spark, folder, "events")
-        .groupBy("user_id", day.alias("day"))
-        .agg(F.max("value").cast("decimal(18,2)").alias("price"), F.count("*").alias("n"))
+        .selectExpr("user_id", "CAST(ts AS DATE) AS day", "value")
+        .groupBy("user_id", "day")
+        .agg(F.max("value").alias("price"), F.count("*").alias("n"))
     )
-    points = daily.groupBy("user_id", F.trunc("day", "month").alias("month")).agg(
-        F.array_sort(
-            F.collect_list(F.struct((F.unix_date("day").cast("bigint") * 86400000).alias("millis"), "price", "n"))
-        ).alias("points")
+    point = "named_struct('millis', unix_date(day) * 86400000L, 'price', CAST(price AS DECIMAL(18,2)), 'n', n)"
+    monthly = (
+        daily.selectExpr("user_id", "trunc(day, 'month') AS month", f"{point} AS point")
+        .groupBy("user_id", "month")
+        .agg(F.expr("array_sort(collect_list(point))").alias("points"))
     )
 
-    def pairs(rows: Column, name: str) -> Column:
-        pair = lambda p: F.concat(
-            F.lit("["), p["millis"].cast("string"), F.lit(","), p[name].cast("string"), F.lit("]")
-        )
-        return F.concat(F.lit("["), F.array_join(F.transform(rows, pair), ","), F.lit("]"))
-
-    known = F.slice("points", F.lit(1), F.size("points") - 1)
-    return points.select(
-        (F.col("user_id") * 1_000_000 + F.year("month") * 100 + F.month("month")).alias("payload_id"),
-        F.lit(S.COINGECKO).alias("source"),
-        F.concat(F.lit("u"), "user_id").alias("ticker"),
-        F.concat(
-            F.lit('{"prices":'), pairs(F.col("points"), "price"),
-            F.lit(',"total_volumes":'), pairs(known, "n"), F.lit("}"),
-        ).alias("payload"),
-        F.add_months("month", 1).cast(S.STAMP).alias("loaded_at"),
+    def pairs(points: str, name: str) -> str:
+        return f"array_join(transform({points}, p -> concat('[', p.millis, ',', p.{name}, ']')), ',')"
+
+    known = "slice(points, 1, size(points) - 1)"
+    return monthly.selectExpr(
+        "user_id * 1000000 + year(month) * 100 + month(month) AS payload_id",
+        f"'{S.COINGECKO}' AS source",
+        "concat('u', user_id) AS ticker",
+        f"""concat('{{"prices":[', {pairs('points', 'price')}, '],"total_volumes":[',
+            {pairs(known, 'n')}, ']}}') AS payload""",
+        "CAST(add_months(month, 1) AS TIMESTAMP_NTZ) AS loaded_at",
     )
 
 
 def watchlist(spark: SparkSession, folder: str) -> DataFrame:
     """A watchlist over all parts: the type decides the source, and one source is disabled."""
-    kind = F.col("p_type")
-    source = F.when(kind.isin("ECONOMY", "PROMO"), "A").when(kind == "STANDARD", "N").otherwise("R")
-    return table(spark, folder, "part").select(
-        source.alias("source"),
-        F.concat(F.lit("P"), "p_partkey").alias("ticker"),
-        (source != "R").alias("enabled"),
+    source = """CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'A' WHEN p_type = 'STANDARD' THEN 'N'
+        ELSE 'R' END"""
+    return table(spark, folder, "part").selectExpr(
+        f"{source} AS source", "concat('P', p_partkey) AS ticker", f"{source} <> 'R' AS enabled"
     )

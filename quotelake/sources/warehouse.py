@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas as S
+from quotelake.functions.calendar import key_year
 
 COMMITS = T.StructType(
     [
@@ -36,6 +37,11 @@ YEAR = T.StructField("year", T.IntegerType())
 LOAD = T.StructField("load", T.IntegerType())
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    columns = (f"CAST(NULL AS {field.dataType.simpleString()}) AS {field.name}" for field in schema.fields)
+    return spark.range(0, numPartitions=1).selectExpr(*columns)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -46,7 +52,7 @@ class Warehouse:
         """An empty warehouse in a new folder."""
         house = cls(spark, root)
         for name, schema in {**DIMS, "dim_dates": S.DIM_DATES}.items():
-            house.write(name, 0, spark.createDataFrame([], schema))
+            house.write(name, 0, no_rows(spark, schema))
         house.commit(Row(load=0, batch_id=-1, dims_load=0))
         return house
 
@@ -62,8 +68,14 @@ class Warehouse:
 
     def commit(self, row: Row) -> None:
         values = row.asDict()
-        full = tuple(values.get(name) for name in COMMITS.fieldNames())
-        self.write("commits", values["load"], self.spark.createDataFrame([full], COMMITS).drop("load"))
+        columns = (
+            f"CAST({'NULL' if values.get(field.name) is None else values[field.name]} "
+            f"AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in COMMITS.fields
+            if field.name != "load"
+        )
+        one = self.spark.range(1, numPartitions=1).selectExpr(*columns)
+        self.write("commits", values["load"], one)
         self.__dict__.pop("last", None)
 
     def commits(self) -> DataFrame:
@@ -77,11 +89,10 @@ class Warehouse:
     def _committed(self, table: str, schema: T.StructType) -> DataFrame:
         # The commits are written last, so an unfinished load lies above the newest one.
         rows = self.spark.read.schema(schema.add(LOAD)).parquet(self.path(table))
-        return rows.where(F.col("load") <= self.last["load"])
+        return rows.where(f"load <= {self.last['load']}")
 
     def _dim(self, table: str) -> DataFrame:
-        rows = self.spark.read.schema(DIMS[table]).parquet(self.path(table, self.last["dims_load"]))
-        return rows
+        return self.spark.read.schema(DIMS[table]).parquet(self.path(table, self.last["dims_load"]))
 
     def assets(self) -> DataFrame:
         return self._dim("dim_assets")
@@ -95,8 +106,7 @@ class Warehouse:
     def facts(self) -> DataFrame:
         """The quote fact with its ``year``, by which its files are laid out."""
         if self.last["dims_load"] == 0:
-            empty = T.StructType([*S.FACT_QUOTES.fields, YEAR])
-            return self.spark.createDataFrame([], empty)
+            return no_rows(self.spark, T.StructType([*S.FACT_QUOTES.fields, YEAR]))
         return self._committed("fact_quotes", T.StructType([*S.FACT_QUOTES.fields, YEAR])).drop("load")
 
     def outcomes(self) -> DataFrame:
@@ -104,7 +114,7 @@ class Warehouse:
         fields = [("record_id", T.LongType()), ("source", T.StringType()), ("reason", T.StringType())]
         schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
         if self.last["load"] == 0:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self._committed("outcomes", schema).drop("load")
 
 
@@ -114,9 +124,8 @@ def write_facts(house: Warehouse, load: int, facts: DataFrame) -> None:
     The range partitioning takes the whole key, so a hot year or asset spreads over tasks,
     and each file covers few assets, which lets a reader skip row groups.
     """
-    year = F.floor(F.col("date_key") / 10000).cast("int").alias("year")
     order = ("year", "asset_key", "date_key", "source_key")
-    rows = facts.select(*S.FACT_QUOTES.fieldNames(), year)
+    rows = facts.selectExpr(*S.FACT_QUOTES.fieldNames(), f"{key_year('date_key')} AS year")
     house.write(
         "fact_quotes", load, rows.repartitionByRange(*order).sortWithinPartitions(*order), "year"
     )
