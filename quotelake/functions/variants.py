@@ -3,14 +3,14 @@ apart."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 # Written behind the text; found again only if the text was one complete JSON value.
 _END = "end of record"
 
 # Fixed value: the largest magnitude a 96-bit decimal can hold.
 MAX_DECIMAL = "79228162514264337593543950335D"
 
-_NUMBER = r"BIGINT|DECIMAL[(][0-9]+,[0-9]+[)]|DOUBLE"
-
 
 def parse_with_end(text: str) -> str:
     """``text`` parsed with the marker behind it; hand the result to ``only_value``.
@@ -44,25 +44,32 @@ def member(value: str, path: str) -> str:
     return read(value, path, "variant")
 
 
-def type_of(value: str, path: str = "$") -> str:
-    """The type name of the value at ``path``; VOID for a JSON null, null when missing."""
-    return f"schema_of_variant({member(value, path)})"
+def members(value: str, names: Iterable[str], many: bool = False) -> str:
+    """The values under several keys of an object, or of each object in an array, read in
+    one pass; a missing key is null, and so is an element that is no object."""
+    shape = f"struct<{','.join(f'{name}:variant' for name in names)}>"
+    return read(value, "$", f"array<{shape}>" if many else shape)
+
+
+def type_of(value: str, path: str = "") -> str:
+    """The type name of a value; VOID for a JSON null, null when missing."""
+    return f"schema_of_variant({member(value, path) if path else value})"
 
 
-def is_text(value: str, path: str) -> str:
+def is_text(value: str) -> str:
     """True for a text or a JSON null; null when missing."""
-    return f"{type_of(value, path)} IN ('STRING', 'VOID')"
+    return f"{type_of(value)} IN ('STRING', 'VOID')"
 
 
-def is_number(value: str, path: str = "$") -> str:
-    """True for a JSON number that fits a 96-bit decimal; null when missing."""
-    return (
-        f"({type_of(value, path)} RLIKE '^({_NUMBER})$' "
-        f"AND CASE WHEN {member(value, path)} IS NOT NULL "
-        f"THEN coalesce(abs({read(value, path, 'double')}) <= {MAX_DECIMAL}, false) END)"
-    )
+def is_number_type(type_name: str) -> str:
+    return f"({type_name} IN ('BIGINT', 'DOUBLE') OR startswith({type_name}, 'DECIMAL'))"
+
+
+def in_decimal_range(value: str) -> str:
+    """True when a number fits a 96-bit decimal."""
+    return f"coalesce(abs({read(value, '$', 'double')}) <= {MAX_DECIMAL}, false)"
 
 
 def is_number_list(type_name: str) -> str:
     """True for the type name of an array of numbers and nulls."""
-    return f"{type_name} RLIKE '^ARRAY<(VOID|{_NUMBER})>$'"
+    return f"{type_name} RLIKE '^ARRAY<(VOID|BIGINT|DECIMAL[(][0-9]+,[0-9]+[)]|DOUBLE)>$'"

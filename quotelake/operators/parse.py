@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quotelake import schemas as S
 from quotelake.functions import variants as V
 from quotelake.functions.calendar import iso_date
+from quotelake.operators.once import named_struct as _struct
 from quotelake.operators.once import once
 
 UNKNOWN_SOURCE = "unknown_source"
@@ -28,20 +29,27 @@ def known_source(source: str) -> str:
     return f"CASE lower(trim({source})) {cases} END"
 
 
-def _struct(**fields: str) -> str:
-    return f"named_struct({', '.join(f"'{name}', {value}" for name, value in fields.items())})"
+KEYS = ("ticker", "date", *NUMBERS)
 
-
-# What one JSON element ``e`` holds under each key, as far as its type allows.
+# The fields of one JSON element ``e`` as far as their types allow, each number with its
+# type name and, should it not fit its column, with itself.
 _READ = _struct(
     element_pos="i",
-    texts=f"coalesce({V.is_text('e', '$.ticker')} AND {V.is_text('e', '$.date')}, false)",
-    ticker=V.read("e", "$.ticker", "string"),
-    day=V.read("e", "$.date", "string"),
-    **{name: V.read("e", f"$.{name}", kind.simpleString()) for name, kind in NUMBERS.items()},
-    **{f"{name}_ok": V.is_number("e", f"$.{name}") for name in NUMBERS},
+    texts=f"coalesce({V.is_text('e.ticker')} AND {V.is_text('e.date')}, false)",
+    ticker=V.read("e.ticker", "$", "string"),
+    day=V.read("e.date", "$", "string"),
+    **{name: V.read(f"e.{name}", "$", kind.simpleString()) for name, kind in NUMBERS.items()},
+    **{f"{name}_type": V.type_of(f"e.{name}") for name in NUMBERS},
+    **{f"{name}_raw": f"e.{name}" for name in NUMBERS},
 )
 
+
+def _is_number(name: str) -> str:
+    """A missing number passes; the range is looked at only where the column was too small."""
+    given = f"e.{name} IS NOT NULL OR {V.in_decimal_range(f'e.{name}_raw')}"
+    return f"(e.{name}_type IS NULL OR ({V.is_number_type(f'e.{name}_type')} AND ({given})))"
+
+
 # Usable text fields, and whether every number present is a number and fits its column.
 _TYPED = _struct(
     element_pos="e.element_pos",
@@ -49,8 +57,8 @@ _TYPED = _struct(
     ticker="e.ticker",
     date=iso_date("e.day"),
     **{name: f"coalesce(e.{name}, CAST(0 AS {kind.simpleString()}))" for name, kind in NUMBERS.items()},
-    numeric=" AND ".join(f"coalesce(e.{name}_ok, true)" for name in NUMBERS),
-    fits=" AND ".join(f"(e.{name}_ok IS NULL OR e.{name} IS NOT NULL)" for name in NUMBERS),
+    numeric=" AND ".join(_is_number(name) for name in NUMBERS),
+    fits=" AND ".join(f"(e.{name}_type IS NULL OR e.{name} IS NOT NULL)" for name in NUMBERS),
 )
 
 # Numbers only count where ticker and date are usable.
@@ -77,7 +85,7 @@ def record_outcomes(lake: DataFrame) -> DataFrame:
     text = "CASE WHEN known_source IS NOT NULL THEN raw_content END"
     parsed = once(known, wrapped=V.parse_with_end(text))
     parsed = once(parsed, root=V.only_value("wrapped"))
-    elements = f"coalesce({V.items('root')}, array(root))"
+    elements = f"coalesce({V.members('root', KEYS, many=True)}, array({V.members('root', KEYS)}))"
     for shape in (f"(e, i) -> {_READ}", f"e -> {_TYPED}", f"e -> {_JUDGED}"):
         elements = f"transform({elements}, {shape})"
     parsed = once(parsed, judged=f"CASE WHEN root IS NOT NULL THEN {elements} END")

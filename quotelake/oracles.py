@@ -24,10 +24,10 @@ quotes AS (
          l_shipdate + l_linenumber * INTERVAL 1 DAY AS loaded_at,
          l_orderkey AS record_id,
          l_linenumber AS element_pos,
-         l_linestatus AS status
+         l_linestatus AS status, l_extendedprice, l_quantity, l_discount, l_tax
   FROM lineitem)"""
 
-BATCH_ORDER = "loaded_at, record_id, element_pos, close, volume, low, high"
+BATCH_ORDER = "loaded_at, record_id, element_pos, l_extendedprice, l_quantity, l_discount, l_tax"
 BATCH_ORDER_DOWN = ", ".join(f"{name} DESC" for name in BATCH_ORDER.split(", "))
 ID = "asset_key * 4294967296 + (d - DATE '0001-01-01') * 1024 + source_key"
 
@@ -511,7 +511,7 @@ FROM pairs GROUP BY payload_id""",
   FROM part)
 SELECT q.ticker, strftime(d, '%Y-%m-%d') AS date, low::DOUBLE AS open, high::DOUBLE AS high,
        low::DOUBLE AS low, close::DOUBLE AS close, volume::DOUBLE AS volume, q.source,
-       strftime(loaded_at, '%Y-%m-%d %H:%M:%S') AS loaded_at, record_id, element_pos, status
+       strftime(loaded_at, '%Y-%m-%d %H:%M:%S') AS loaded_at, record_id, element_pos
 FROM quotes q JOIN listed l ON l.ticker = q.ticker AND l.source = q.source WHERE q.source <> 'R'""",
         # Pipeline
         "lake_load": lake_load(two_load_types),

@@ -440,7 +440,8 @@ def lake_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def watchlist_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The quotes of the enabled sources that are on those sources' lists."""
-    return plain(lakes.watched(tables.quotes(spark, folder), tables.watchlist(spark, folder)))
+    quotes = tables.quotes(spark, folder).select(*S.QUOTES.fieldNames())
+    return plain(lakes.watched(quotes, tables.watchlist(spark, folder)))
 
 
 # Pipeline

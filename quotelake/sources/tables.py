@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from quotelake import schemas as S
 from quotelake.functions.calendar import calendar_columns, date_key, key_year, stamp
-from quotelake.operators.facts import first_facts
+from quotelake.operators.dedup import first_wins
+from quotelake.operators.facts import to_facts
 from quotelake.sources.payloads import PAYLOADS
 
-# Ties in the batch order fall to the values themselves, so any order gives one result.
-LINE_ORDER = (*S.BATCH_ORDER, "close", "volume", "open", "high")
+# Ties in the batch order fall to the values themselves: then they are the same quote.
+LINE_VALUES = ("l_extendedprice", "l_quantity", "l_discount", "l_tax")
+LINE_ORDER = (*S.BATCH_ORDER, *LINE_VALUES)
 
 # Assets smaller than this are inactive.
 ACTIVE_FROM_SIZE = 6
@@ -59,11 +61,26 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
     return days.distinct().selectExpr(*calendar_columns("date"))
 
 
-def _lines(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with the keys and the place in the batch of the quotes they stand for."""
+    cases = " ".join(f"WHEN '{name}' THEN {key}" for key, name in enumerate(LINE_SOURCES, start=1))
+    return table(spark, folder, "lineitem").selectExpr(
+        "int(l_partkey) AS asset_key",
+        f"{date_key('l_shipdate')} AS date_key",
+        f"CASE l_returnflag {cases} END AS source_key",
+        "l_shipdate + make_dt_interval(l_linenumber) AS loaded_at",
+        "l_orderkey AS record_id",
+        "l_linenumber AS element_pos",
+        "*",
+    )
+
+
+def _as_quotes(lines: DataFrame) -> DataFrame:
     price = "CAST(l_extendedprice AS DECIMAL(12,2))"
     low = f"CAST({price} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,8))"
     high = f"CAST({price} * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,8))"
-    return table(spark, folder, "lineitem").selectExpr(
+    return lines.selectExpr(
+        *S.FACT_KEY,
         "concat('P', l_partkey) AS ticker",
         "CAST(l_shipdate AS DATE) AS date",
         f"{low} AS open",
@@ -72,34 +89,27 @@ def _lines(spark: SparkSession, folder: str, *more: str) -> DataFrame:
         f"CAST({price} AS DECIMAL(18,8)) AS close",
         "CAST(l_quantity AS DECIMAL(18,4)) AS volume",
         "l_returnflag AS source",
-        "l_shipdate + make_dt_interval(l_linenumber) AS loaded_at",
-        "l_orderkey AS record_id",
-        "l_linenumber AS element_pos",
+        *S.BATCH_ORDER,
         "l_linestatus AS status",
-        *more,
+        *LINE_VALUES,
     )
 
 
-def quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """One quote per order line: the price is the close, discount and tax make the range."""
-    return _lines(spark, folder)
+def keyed_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """One quote per order line, with the keys the tables already hold: the price is the
+    close, discount and tax make the range."""
+    return _as_quotes(_lines(spark, folder))
 
 
-def keyed_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """Quotes with their keys, which the tables already hold."""
-    cases = " ".join(f"WHEN '{name}' THEN {key}" for key, name in enumerate(LINE_SOURCES, start=1))
-    return _lines(
-        spark,
-        folder,
-        "int(l_partkey) AS asset_key",
-        f"{date_key('l_shipdate')} AS date_key",
-        f"CASE l_returnflag {cases} END AS source_key",
-    )
+def quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """The quotes without keys."""
+    return keyed_quotes(spark, folder).select(*S.QUOTES.fieldNames(), "status", *LINE_VALUES)
 
 
 def facts(spark: SparkSession, folder: str) -> DataFrame:
-    """The quote fact: the first quote of each asset, date and source."""
-    return first_facts(keyed_quotes(spark, folder), LINE_ORDER)
+    """The quote fact: the first quote of each asset, date and source. The line is chosen
+    before its numbers are made decimals, so a query makes only the ones it reads."""
+    return to_facts(_as_quotes(first_wins(_lines(spark, folder), S.FACT_KEY, LINE_ORDER)))
 
 
 def last_day(spark: SparkSession, folder: str) -> dt.date:
