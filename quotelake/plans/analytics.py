@@ -136,7 +136,7 @@ def week52_display(positions: DataFrame) -> DataFrame:
 def history_display(histories: DataFrame) -> DataFrame:
     """Histories as the asset page prints them."""
     return histories.selectExpr(
-        "ticker", "source_key", "date_format(date, 'yyyy-MM-dd') AS date",
+        "ticker", "source_key", "string(date) AS date",
         *(f"{grouped(name)} AS {name}" for name in ("open", "high", "low", "close")),
         f"{grouped('volume', 0)} AS volume",
     )

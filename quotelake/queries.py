@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake import schemas as S
+from quotelake.functions.calendar import look_back
 from quotelake.operators import dims, facts, parse, quality, series
 from quotelake.operators.keys import fact_id
 from quotelake.plans import analytics, etl, marts
@@ -43,8 +44,8 @@ def queries() -> dict[str, Query]:
 
 def plain(rows: DataFrame) -> DataFrame:
     forms = {
-        "date": "date_format({0}, 'yyyy-MM-dd') AS {0}",
-        "timestamp_ntz": "date_format({0}, 'yyyy-MM-dd HH:mm:ss') AS {0}",
+        "date": "string({0}) AS {0}",
+        "timestamp_ntz": "substr(string({0}), 1, 19) AS {0}",
     }
     return rows.selectExpr(
         *(
@@ -57,6 +58,14 @@ def plain(rows: DataFrame) -> DataFrame:
 # Marts
 
 
+def _compare(
+    spark: SparkSession, folder: str, days: int = 90
+) -> tuple[DataFrame, DataFrame, int, dt.date]:
+    as_of = tables.last_day(spark, folder)
+    facts_in_range = tables.facts(spark, folder, look_back(as_of, days))
+    return facts_in_range, tables.assets(spark, folder), days, as_of
+
+
 @_query
 def portfolio_summary(spark: SparkSession, folder: str) -> DataFrame:
     return plain(marts.portfolio_summary(tables.facts(spark, folder), tables.assets(spark, folder)))
@@ -94,19 +103,13 @@ def asset_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def comparative_returns(spark: SparkSession, folder: str) -> DataFrame:
-    as_of = tables.last_day(spark, folder)
-    return plain(
-        marts.comparative_returns(tables.facts(spark, folder), tables.assets(spark, folder), 90, as_of)
-    )
+    return plain(marts.comparative_returns(*_compare(spark, folder)))
 
 
 @_query
 def comparative_returns_year(spark: SparkSession, folder: str) -> DataFrame:
-    """The longest window a user may ask for; longer wishes are clamped to it."""
-    as_of = tables.last_day(spark, folder)
-    return plain(
-        marts.comparative_returns(tables.facts(spark, folder), tables.assets(spark, folder), 10_000, as_of)
-    )
+    """The longest window a user may ask for."""
+    return plain(marts.comparative_returns(*_compare(spark, folder, marts.YEAR_DAYS)))
 
 
 def _week52(spark: SparkSession, folder: str, ordered: bool = True) -> DataFrame:
@@ -142,12 +145,6 @@ def asset_header(spark: SparkSession, folder: str) -> DataFrame:
     return plain(analytics.asset_header(summary, assets))
 
 
-def _compare(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, int, dt.date]:
-    return (
-        tables.facts(spark, folder), tables.assets(spark, folder), 90, tables.last_day(spark, folder)
-    )
-
-
 @_query
 def compare_grid(spark: SparkSession, folder: str) -> DataFrame:
     return plain(analytics.compare_grid(*_compare(spark, folder)))
@@ -162,7 +159,7 @@ def compare_pivot(spark: SparkSession, folder: str) -> DataFrame:
 def compare_series(spark: SparkSession, folder: str) -> DataFrame:
     """The maps as text: date=value entries in date order."""
     rows = analytics.compare_series(*_compare(spark, folder))
-    entry = "concat(date_format(e.key, 'yyyy-MM-dd'), '=', CAST(e.value AS DECIMAL(20,2)))"
+    entry = "concat(e.key, '=', CAST(e.value AS DECIMAL(20,2)))"
     return rows.selectExpr(
         "ticker", f"array_join(transform(map_entries(series), e -> {entry}), ';') AS series"
     )

@@ -106,10 +106,17 @@ def quotes(spark: SparkSession, folder: str) -> DataFrame:
     return keyed_quotes(spark, folder).select(*S.QUOTES.fieldNames(), "status", *LINE_VALUES)
 
 
-def facts(spark: SparkSession, folder: str) -> DataFrame:
-    """The quote fact: the first quote of each asset, date and source. The line is chosen
-    before its numbers are made decimals, so a query makes only the ones it reads."""
-    return to_facts(_as_quotes(first_wins(_lines(spark, folder), S.FACT_KEY, LINE_ORDER)))
+def facts(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
+    """The quote fact: the first quote of each asset, date and source, from the day
+    ``since`` (SQL) on if given, which the file scan then tests.
+
+    The line is chosen before its numbers are made decimals, so a query makes only the
+    ones it reads.
+    """
+    lines = _lines(spark, folder)
+    if since:
+        lines = lines.where(f"l_shipdate >= CAST({since} AS TIMESTAMP_NTZ)")
+    return to_facts(_as_quotes(first_wins(lines, S.FACT_KEY, LINE_ORDER)))
 
 
 def last_day(spark: SparkSession, folder: str) -> dt.date:
@@ -120,7 +127,7 @@ def last_day(spark: SparkSession, folder: str) -> dt.date:
 def lake(spark: SparkSession, folder: str) -> DataFrame:
     """One lake record per event; the event type decides what is right or wrong with it."""
     price = "CAST(value AS DECIMAL(18,2))"
-    head = """'{"ticker":"U', user_id, '","date":"', date_format(ts, 'yyyy-MM-dd'), '"'"""
+    head = """'{"ticker":"U', user_id, '","date":"', CAST(ts AS DATE), '"'"""
     prices = ", ".join(f"""',"{name}":', {price}""" for name in ("open", "high", "low", "close"))
     full = f"""{head}, {prices}, ',"volume":1}}'"""
     content = f"""CASE event_type
