@@ -16,7 +16,7 @@ from quotelake.functions.calendar import look_back
 from quotelake.operators import dims, facts, parse, quality, series
 from quotelake.operators.keys import fact_id
 from quotelake.plans import analytics, etl, marts
-from quotelake.session import shared_dir
+from quotelake.session import shared_dir, staged
 from quotelake.sources import lake as lakes
 from quotelake.sources import payloads as feeds
 from quotelake.sources import tables
@@ -236,13 +236,13 @@ def _all_quotes(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def dim_assets_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Parts updated by the order lines, with the tickers of the lake added."""
-    incoming = dims.assets_in(_all_quotes(spark, folder))
+    incoming = staged(dims.assets_in(_all_quotes(spark, folder)), "batch-assets")
     return plain(dims.upsert_assets(tables.assets(spark, folder), incoming, NOW))
 
 
 @_query
 def dim_sources_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    incoming = dims.sources_in(_all_quotes(spark, folder))
+    incoming = staged(dims.sources_in(_all_quotes(spark, folder)), "batch-sources")
     return plain(dims.upsert_sources(tables.sources(spark), incoming))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set in the builder only; nothing below changes a session that somebody else made.
 SETTINGS = {
@@ -42,3 +42,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="quotelake-")
     return f"{base.rstrip('/')}/quotelake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back, for results used several times:
+    they are computed once, and a lost executor costs no more than its own step."""
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
