@@ -97,12 +97,12 @@ FROM summary ORDER BY ticker"""
 # The newest rows of every active asset.
 HISTORY = f"""{FACTS}, {ASSETS},
 history AS (
-  SELECT a.ticker, f.d, f.close, f.low, f.high, f.volume, f.source_key,
+  SELECT a.asset_key, a.ticker, f.d, f.close, f.low, f.high, f.volume, f.source_key,
          row_number() OVER (PARTITION BY a.ticker ORDER BY f.d DESC, f.source_key) AS nth
   FROM facts f JOIN assets a USING (asset_key) WHERE a.is_active)"""
 
 HISTORY_COLUMNS = """
-  ticker, strftime(d, '%Y-%m-%d') AS date, low::DOUBLE AS open, high::DOUBLE AS high,
+  asset_key, ticker, strftime(d, '%Y-%m-%d') AS date, low::DOUBLE AS open, high::DOUBLE AS high,
   low::DOUBLE AS low, close::DOUBLE AS close, volume::DOUBLE AS volume, source_key"""
 
 
@@ -391,7 +391,7 @@ SELECT asset_key, ticker, name, asset_type, NULL::VARCHAR AS exchange, is_active
 FROM assets WHERE is_active ORDER BY ticker""",
         "dim_lookup": f"""WITH {ASSETS},
 wanted AS (SELECT DISTINCT 'P' || o_orderkey AS ticker FROM orders)
-SELECT ticker, asset_key, name, asset_type, NULL::VARCHAR AS exchange, is_active,
+SELECT ticker, asset_key, name, asset_type, NULL::VARCHAR AS exchange, is_active::VARCHAR AS is_active,
        CASE WHEN asset_key IS NOT NULL THEN '1995-01-01 00:00:00' END AS created_at,
        CASE WHEN asset_key IS NOT NULL THEN '1995-01-01 00:00:00' END AS updated_at
 FROM wanted LEFT JOIN assets USING (ticker)""",
@@ -468,7 +468,7 @@ SELECT record_id, source, source AS endpoint,
 FROM lake_text WHERE NOT is_processed ORDER BY ts, record_id""",
         "lake_parse": f"WITH {LAKE} SELECT {LAKE_QUOTE_COLUMNS} FROM lake_quotes",
         "lake_rejects": f"""WITH {LAKE}
-SELECT record_id, known AS source, NULL::INTEGER AS element_pos, reason FROM lake WHERE reason IS NOT NULL""",
+SELECT record_id, known AS source, -1 AS element_pos, reason FROM lake WHERE reason IS NOT NULL""",
         "lake_mark_processed": f"""WITH {LAKE}, {LAKE_TEXT}
 SELECT record_id, source, source AS endpoint,
        CASE event_type

@@ -73,6 +73,7 @@ def asset_history_view(facts: DataFrame, assets: DataFrame, dates: DataFrame) ->
     # One row per calendar day, so never more than the calendar has.
     days = F.broadcast(dates.select("date_key", "full_date"))
     return facts.join(labels, "asset_key").join(days, "date_key").selectExpr(
+        "asset_key",
         "ticker",
         "full_date AS date",
         "open_price AS open",
@@ -92,7 +93,7 @@ def asset_history(
         asset_history_view(facts, assets.where(F.col("ticker") == ticker), dates)
         .orderBy(F.desc("date"), "source_key")
         .limit(clamp(days, *HISTORY_DAYS))
-        .drop("source_key", "ticker")
+        .drop("source_key", "asset_key", "ticker")
     )
 
 

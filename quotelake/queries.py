@@ -209,7 +209,8 @@ def active_assets(spark: SparkSession, folder: str) -> DataFrame:
 def dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The asset of every order key read as a ticker; most have none."""
     wanted = tables.table(spark, folder, "orders").selectExpr("concat('P', o_orderkey) AS ticker")
-    return plain(dims.lookup(tables.assets(spark, folder), "ticker", wanted))
+    found = dims.lookup(tables.assets(spark, folder), "ticker", wanted)
+    return plain(found.withColumn("is_active", found["is_active"].cast("string")))
 
 
 @_query
@@ -374,7 +375,8 @@ def lake_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def lake_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return parse.rejects(parse.record_outcomes(tables.lake(spark, folder)))
+    """All rejects; -1 stands for the whole record."""
+    return parse.rejects(parse.record_outcomes(tables.lake(spark, folder))).na.fill(-1, ["element_pos"])
 
 
 @_query

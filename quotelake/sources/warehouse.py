@@ -20,6 +20,7 @@ from quotelake.functions.calendar import key_year
 COMMITS = T.StructType(
     [
         T.StructField("load", T.IntegerType()),
+        T.StructField("stream_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("dims_load", T.IntegerType()),
         *(
@@ -53,7 +54,7 @@ class Warehouse:
         house = cls(spark, root)
         for name, schema in {**DIMS, "dim_dates": S.DIM_DATES}.items():
             house.write(name, 0, no_rows(spark, schema))
-        house.commit(Row(load=0, batch_id=-1, dims_load=0))
+        house.commit(Row(load=0, dims_load=0))
         return house
 
     def path(self, table: str, load: int | None = None) -> str:
@@ -69,12 +70,11 @@ class Warehouse:
     def commit(self, row: Row) -> None:
         values = row.asDict()
         columns = (
-            f"CAST({'NULL' if values.get(field.name) is None else values[field.name]} "
-            f"AS {field.dataType.simpleString()}) AS {field.name}"
+            F.lit(values.get(field.name)).cast(field.dataType).alias(field.name)
             for field in COMMITS.fields
             if field.name != "load"
         )
-        one = self.spark.range(1, numPartitions=1).selectExpr(*columns)
+        one = self.spark.range(1, numPartitions=1).select(*columns)
         self.write("commits", values["load"], one)
         self.__dict__.pop("last", None)
 
@@ -111,11 +111,17 @@ class Warehouse:
 
     def outcomes(self) -> DataFrame:
         """Id, source and reason of every record any load has read."""
-        fields = [("record_id", T.LongType()), ("source", T.StringType()), ("reason", T.StringType())]
-        schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
+        return self._log("outcomes", "record_id long, source string, reason string")
+
+    def rejects(self) -> DataFrame:
+        """Rejected records, and single rejected elements by position, with the reason."""
+        return self._log("rejects", "record_id long, source string, element_pos int, reason string")
+
+    def _log(self, table: str, columns: str) -> DataFrame:
+        schema = T.StructType.fromDDL(columns)
         if self.last["load"] == 0:
             return no_rows(self.spark, schema)
-        return self._committed("outcomes", schema).drop("load")
+        return self._committed(table, schema).drop("load")
 
 
 def write_facts(house: Warehouse, load: int, facts: DataFrame) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake import schemas as S
@@ -29,14 +30,17 @@ def start_ingest(
     """Loads every micro-batch of ``records``; without an interval, what is there, then ends.
 
     A batch replayed after a crash finds its commit and is left alone, or finds none and
-    overwrites its own half-written load. Late quotes are new keys and are added; quotes
-    already stored are dropped by the load's anti-join, so the stream needs no state.
+    overwrites its own half-written load. The commit names the stream by the id in its
+    checkpoint: with a new checkpoint all files are read again, and their quotes that are
+    stored already are dropped by the load's anti-join. Late quotes are new keys and are
+    added. So the stream needs no state.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        newest = house.commits().agg({"batch_id": "max"}).first()[0]
-        if newest is None or batch_id > newest:
-            load_records(house, batch, batch_id=batch_id)
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        mine = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+        if house.commits().where(mine).isEmpty():
+            load_records(house, batch, stream_id=stream_id, batch_id=batch_id)
 
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if every_minutes is None:
