@@ -1,7 +1,7 @@
 """The SQL that each query is checked against.
 
-Written apart from the Spark plans: lateral top-1 subqueries where the plan ranks, window
-functions where it aggregates, and whole-number arithmetic where it rounds decimals.
+Written apart from the Spark plans: sorted lists where the plan ranks or aggregates, windows
+where it keeps first rows, and whole-number arithmetic where it rounds decimals.
 """
 
 from __future__ import annotations
@@ -66,15 +66,13 @@ def change(now: str, before: str) -> str:
     )
 
 
+# One close per day, then the two newest of each list.
 SUMMARY = f"""{FACTS}, {ASSETS},
+day_closes AS (SELECT asset_key, d, arg_min(close, source_key) AS close FROM facts GROUP BY ALL),
+ordered AS (SELECT asset_key, list(close ORDER BY d DESC) AS closes FROM day_closes GROUP BY asset_key),
 summary AS (
-  SELECT a.ticker, a.name, a.asset_type, last.close AS last_close, prev.close AS previous_close
-  FROM assets a,
-  LATERAL (SELECT f.close, f.d FROM facts f WHERE f.asset_key = a.asset_key
-           ORDER BY f.d DESC, f.source_key LIMIT 1) AS last
-  LEFT JOIN LATERAL (SELECT g.close FROM facts g WHERE g.asset_key = a.asset_key AND g.d < last.d
-                     ORDER BY g.d DESC, g.source_key LIMIT 1) AS prev ON true
-  WHERE a.is_active)"""
+  SELECT a.ticker, a.name, a.asset_type, closes[1] AS last_close, closes[2] AS previous_close
+  FROM assets a JOIN ordered USING (asset_key) WHERE a.is_active)"""
 
 SUMMARY_BY_ROW = f"""{FACTS}, {ASSETS},
 ordered AS (
@@ -107,12 +105,13 @@ HISTORY_COLUMNS = """
 
 
 def compared(days: int) -> str:
-    base = cents("first_value(close) OVER (PARTITION BY asset_key ORDER BY d, source_key)")
     return f"""{FACTS}, {ASSETS},
-based AS (
-  SELECT a.ticker, f.d, f.source_key, f.close, {base} AS base
-  FROM facts f JOIN assets a USING (asset_key)
+in_range AS (
+  SELECT a.ticker, f.d, f.source_key, f.close FROM facts f JOIN assets a USING (asset_key)
   WHERE a.is_active AND f.d >= (SELECT max(l_shipdate)::DATE FROM lineitem) - {days}),
+bases AS (
+  SELECT ticker, {cents('list(close ORDER BY d, source_key)[1]')} AS base FROM in_range GROUP BY ticker),
+based AS (SELECT * FROM in_range JOIN bases USING (ticker)),
 compared AS (
   SELECT *, CASE WHEN base = 0 THEN 0.0 ELSE {ratio(cents('close'), 'base')} END AS normalized_return
   FROM based),
@@ -126,21 +125,17 @@ SELECT ticker, strftime(d, '%Y-%m-%d') AS date, close::DOUBLE AS close, normaliz
 FROM compared"""
 
 WEEK52 = f"""{FACTS}, {ASSETS},
-latest AS (
-  SELECT a.asset_key, a.ticker, a.name, a.asset_type, f.close AS last_close
-  FROM assets a,
-  LATERAL (SELECT g.close FROM facts g WHERE g.asset_key = a.asset_key
-           ORDER BY g.d DESC, g.source_key LIMIT 1) AS f
-  WHERE a.is_active),
-span AS (
-  SELECT asset_key, max(close) AS high, min(close) AS low FROM facts
-  WHERE d >= (SELECT max(l_shipdate)::DATE FROM lineitem) - 365 GROUP BY asset_key),
+closes AS (
+  SELECT asset_key, list(close ORDER BY d DESC, source_key)[1] AS last_close,
+         list(close) FILTER (WHERE d >= (SELECT max(l_shipdate)::DATE FROM lineitem) - 365) AS year
+  FROM facts GROUP BY asset_key),
+spans AS (SELECT *, list_max(year) AS high, list_min(year) AS low FROM closes),
 screener AS (
   SELECT ticker, name, asset_type, last_close,
-         coalesce(high, last_close) AS high_52w, coalesce(low, last_close) AS low_52w,
+         ifnull(high, last_close) AS high_52w, ifnull(low, last_close) AS low_52w,
          {change('last_close', 'high')} AS pct_from_high,
          {change('last_close', 'low')} AS pct_from_low
-  FROM latest LEFT JOIN span USING (asset_key))"""
+  FROM spans JOIN assets USING (asset_key) WHERE is_active)"""
 
 # Half-to-even of 100 * (last - low) / (high - low) in whole numbers.
 _TOP = cents("(last_close - low_52w)") + " * 100"
@@ -443,8 +438,8 @@ SELECT 3 + {NUMBERED.format('source_name')}, source_name, '', true FROM fresh"""
         "fact_delta_scan": f"""WITH {FACTS}
 {fact_select} facts WHERE id > (DATE '1999-01-01' - DATE '0001-01-01') * 1024""",
         "publish_snapshot": f"""WITH {LAKE_FACTS}
-SELECT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, year(d) AS year,
-       ohl::DOUBLE AS open_price, ohl::DOUBLE AS high_price, ohl::DOUBLE AS low_price,
+SELECT ticker, source AS source_name, 1 AS is_active, '' AS exchange,
+       year(d) * 10000 + month(d) * 100 + day(d) AS date_key, (isodow(d) >= 6)::INTEGER AS is_weekend,
        close::DOUBLE AS close_price, volume::DOUBLE AS volume FROM lake_facts""",
         "publish_dimension": f"""WITH {ASSETS}
 SELECT asset_key, ticker, name, asset_type, '' AS exchange, is_active::INTEGER AS is_active,

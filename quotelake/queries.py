@@ -317,17 +317,27 @@ def fact_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def fact_delta_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The slice of the fact behind the last id of the key range of even halves."""
+    """The facts behind a last id, which here lies inside the first asset."""
     return plain(tables.facts(spark, folder).where(f"id > {fact_id('0', STORED_BEFORE, '0')}"))
 
 
 @_query
 def publish_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact of the loaded lake, published and read back from the copy."""
-    house, _ = _loaded_lake(spark, folder)
+    """The loaded lake published, and the published tables joined again."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    etl.load_records(house, tables.lake(spark, folder), now=NOW)
     target = shared_dir(spark, "published")
     etl.publish(house, target)
-    return plain(etl.published(spark, target, "fact_quotes").drop("loaded_at", "asset_key", "id", "source_key"))
+    fact, assets, sources, days = (
+        etl.published(spark, target, name)
+        for name in ("fact_quotes", "dim_assets", "dim_sources", "dim_dates")
+    )
+    return plain(
+        fact.join(assets.select("asset_key", "ticker", "exchange", "is_active"), "asset_key")
+        .join(sources.select("source_key", "source_name"), "source_key")
+        .join(days.select("date_key", "is_weekend"), "date_key")
+        .select("ticker", "source_name", "is_active", "exchange", "date_key", "is_weekend", "close_price", "volume")
+    )
 
 
 @_query
@@ -446,12 +456,6 @@ def watchlist_filter(spark: SparkSession, folder: str) -> DataFrame:
 # Pipeline
 
 
-def _loaded_lake(spark: SparkSession, folder: str) -> tuple[Warehouse, DataFrame]:
-    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
-    etl.load_records(house, tables.lake(spark, folder), now=NOW)
-    return house, house.facts()
-
-
 def _readable(house: Warehouse) -> DataFrame:
     """Facts with ticker and source name in place of the keys."""
     return (
