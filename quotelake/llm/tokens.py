@@ -11,17 +11,22 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-# Entries of a worker's memory of words, about 200 bytes each. Beyond it the memory starts anew.
-MAX_WORDS = 800_000
+# Words of a generation in a worker's memory, about 200 bytes each. A full generation becomes
+# the old one, whose words are taken over as they are met; the one before is forgotten.
+MAX_WORDS = 600_000
 
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A run of points and commas after a Latin letter is a token run of its own.
-_TAIL = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,]+$")
+_TAIL = re.compile(rf"(?<=[{_LETTERS}])[.,]+$")
+_PLAIN = re.compile(rf"[{_LETTERS}]+")
 
 _encoders: dict[str, Encoder] = {}
 
@@ -30,38 +35,53 @@ def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class Encoder:
+class Encoder(dict):
+    """Ids by word, as little-endian unsigned 32-bit integers; a new word is encoded when asked for."""
+
     def __init__(self, path: str, max_words: int = MAX_WORDS):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.max_words = max_words
-        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        # How the tokenizer writes each plain letter before it merges.
+        letters = [chr(code) for code in range(0x100) if _PLAIN.fullmatch(chr(code))]
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.written = str.maketrans({letter: split(letter)[0][0] for letter in letters})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
-        words = [
-            (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts
+        """The ids of each text; null is empty."""
+        if len(self) > self.max_words:
+            self.old = dict(self)
+            self.clear()
+            self[""] = b""
+        look_up = self.__getitem__
+        return [
+            b"".join(map(look_up, (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+            for text in texts
         ]
-        if len(self.known) > self.max_words:
-            self.known = {"": b""}
-        known = self.known
-        self._learn({word for of_text in words for word in of_text if word not in known})
-        return [b"".join(map(known.__getitem__, of_text)) for of_text in words]
-
-    def _learn(self, words: set[str]) -> None:
-        known, parts = self.known, {}
-        for word in words:
-            tail = _TAIL.search(word)
-            stem = word[: tail.start()] if tail else word
-            # Lower case of plain letters is what the tokenizer starts with.
-            parts[word] = (stem.lower() if stem.isascii() and stem.isalpha() else stem, tail.group() if tail else "")
-        fresh = [part for part in {p for pair in parts.values() for p in pair} if part not in known]
-        for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            known[part] = np.asarray(found.ids, dtype="<u4").tobytes()
-        for word, (stem, tail) in parts.items():
-            known[word] = known[stem] + known[tail]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            tail = _TAIL.search(word) if word[-1] in ".," else None
+            ids = self[word[: tail.start()]] + self[tail.group()] if tail else self._ids(word)
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word):
+            # One run of letters: only lower case and merging are left to do.
+            found = [token.id for token in self.model.tokenize(word.lower().translate(self.written))]
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids = array("I", found)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 def encoder(path: str) -> Encoder:
