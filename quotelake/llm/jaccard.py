@@ -16,8 +16,9 @@ Pairs are verified on whole sets, made anew from the texts, in two rounds. First
 is paired with one neighbour (the smallest holder of its shingles, where they agree most);
 links so found give components. Then candidates in different components are verified, all of
 them: shingles with at most ``FEW`` holders give their pairs with shared counts; of shingles
-with more holders, those outside the holders' main component meet the others. Pairs within
-a component need no check, so a large group of near copies costs a row per copy.
+with more holders, those outside the holders' main component meet the others, by what they
+differ in from their common neighbour of the first round if they have one. Pairs within a
+component need no check, so a large group of near copies costs a row per copy.
 
 Nulls and edges: texts without words have no shingles, link with nothing and are their own
 component; texts with fewer words than a shingle have their whole sequence as one. Rows of
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import map_arrow, slices
@@ -44,9 +45,9 @@ from quotelake.session import shared_dir, staged
 WORDS = 5
 PERCENT = 80
 # Shingles with more holders come last in the order.
-FREQUENT = 16
+FREQUENT = 4
 # Counts from here on are part of a document's estimate.
-COUNTED = 5
+COUNTED = 3
 # Holders of a shingle that are paired with each other directly.
 FEW = 32
 MOST_EXTRA = 4
@@ -182,33 +183,46 @@ def _prefixes(sets: DataFrame, frequent: DataFrame, percent: int, whole: bool) -
     return map_arrow(joined, choose, "node bigint, n bigint, e int, prefix array<bigint>")
 
 
-def _verified(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` that link, as edges ``u``, ``v``. The texts of the documents in
-    question are met with the pairs; both sets are made in the same task."""
+def _compared(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of pairs ``a``, ``b``: set sizes, whether they link, and for pairs with ``wanted`` the
+    shingles that only one of them has. The texts of the documents in question are met with
+    the pairs; both sets are made in the same task."""
     pairs = staged(pairs, "jaccard-pairs")
     nodes = pairs.selectExpr("a AS node").unionByName(pairs.selectExpr("b AS node")).distinct()
     folder = shared_dir(documents.sparkSession, "jaccard-texts")
     _texts_of(documents, nodes).write.option("compression", "zstd").parquet(folder)
     texts = documents.sparkSession.read.schema("node bigint, text string").parquet(folder)
     met = pairs.join(texts.selectExpr("node AS a", "text AS text_a"), "a")
-    met = met.join(texts.selectExpr("node AS b", "text AS text_b"), "b").select("a", "b", "text_a", "text_b")
+    met = met.join(texts.selectExpr("node AS b", "text AS text_b"), "b").select("a", "b", "text_a", "text_b", "wanted")
+    names = ["a", "b", "n_a", "n_b", "linked", "apart"]
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, np.zeros(0, np.uint64)
         for batch in slices(batches, 256):
-            found = []
-            for a, b, text_a, text_b in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            sizes_a, sizes_b, linked, apart = [], [], [], []
+            for b, text_a, text_b, wanted in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
                 if (b, text_b) != last:
                     last, kept = (b, text_b), shingles(text_b, words)
                 own = shingles(text_a, words)
                 shared = len(np.intersect1d(own, kept, assume_unique=True))
-                if shared and 100 * shared >= percent * (len(own) + len(kept) - shared):
-                    found.append((a, b))
+                sizes_a.append(len(own))
+                sizes_b.append(len(kept))
+                linked.append(bool(shared) and 100 * shared >= percent * (len(own) + len(kept) - shared))
+                apart.append(_signed(np.setxor1d(own, kept, assume_unique=True)) if wanted else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"]
+                [batch.column(0), batch.column(1), pa.array(sizes_a, pa.int64()), pa.array(sizes_b, pa.int64()),
+                 pa.array(linked), _lists(apart)], names,
             )
 
-    return map_arrow(met, verify, "u bigint, v bigint")
+    return map_arrow(
+        met, compare, "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, apart array<bigint>"
+    )
+
+
+def _verified(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that link, as edges ``u``, ``v``."""
+    compared = _compared(documents, pairs.withColumn("wanted", F.lit(False)), words, percent)
+    return compared.where("linked").selectExpr("a AS u", "b AS v")
 
 
 def _first_pairs(posts: DataFrame, percent: int) -> DataFrame:
@@ -224,7 +238,7 @@ def _close(one: str, other: str, percent: int) -> str:
     return f"100 * least({one}, {other}) >= {percent} * greatest({one}, {other})"
 
 
-def _later_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _later_pairs(posts: DataFrame, first: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """All candidates that lie in different components."""
     named = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy("t").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
@@ -234,10 +248,49 @@ def _later_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     apart = F.expr("label_a <> label_b") & F.expr(_close("n_a", "n_b", percent))
     few = one.where(f"df <= {FEW}").join(other, "t").where("a < b").where(apart)
     few = few.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("e_a", "e_b")).alias("e"))
-    # The smallest label stands for the main component; the others meet all holders.
-    many = one.where(f"df > {FEW} AND label_a <> low").join(other, "t").where(apart)
+    # The smallest label stands for the main component; the others meet all holders, but for
+    # those that were compared with the same hub: their differences from it decide.
+    hubs = first.select("a", "b").groupBy("a").agg(F.min("b").alias("hub"))
+    one = one.join(hubs.withColumnRenamed("hub", "hub_a"), "a", "left")
+    other = other.join(hubs.selectExpr("a AS b", "hub AS hub_b"), "b", "left")
+    strange = F.expr(
+        "coalesce(hub_a, a) <> coalesce(hub_b, b) AND coalesce(hub_a <> b, true) AND coalesce(hub_b <> a, true)"
+    )
+    many = one.where(f"df > {FEW} AND label_a <> low").join(other, "t").where(apart).where(strange)
     many = many.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-    return few.where("c > e").select("a", "b").unionByName(many).distinct()
+    near = _near_one_hub(first, labels, percent)
+    return few.where("c > e").select("a", "b").unionByName(many).unionByName(near).distinct()
+
+
+def _near_one_hub(first: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Candidates in different components among documents compared with the same hub.
+
+    Let d be the shingles in which a document differs from the hub, and B the most in which a
+    linked pair of sizes n, n' may differ, ``c * (n + n')``. What two documents differ in is
+    ``|d| + |d'| - 2 |d and d'|``. Two that both link to the hub are in one component, so one
+    of a pair is further than B from it, and a link asks for more than ``|d| * (1 - c) / 2``
+    shared differences on either side, and for ``|d| - B`` on the far one's side. Prefixes of
+    the differences, rarest first, that long less one, must therefore meet.
+    """
+    c = f"({100 - percent}D / {100 + percent}D)"
+    held = first.where("size(apart) > 0").selectExpr("a AS x", "b AS h", "n_a AS n", "linked", "apart", "size(apart) AS d")
+    held = held.join(labels.selectExpr("node AS x", "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    widest = f"int(floor({c} * (n + floor(n * 100D / {percent}D)) + 1e-9D))"
+    held = held.selectExpr(
+        "*", f"d - int(floor(d * (1D - {c}) / 2D - 1e-9D)) AS half", f"d - greatest(1, d - {widest}) + 1 AS long"
+    )
+    shingle = held.selectExpr("h", "x", "n", "label", "linked", "half", "greatest(half, long) AS long", "explode(apart) AS t")
+    counts = shingle.groupBy("h", "t").agg(F.count(F.lit(1)).alias("df"))
+    # A document's differences are at most its own and the hub's shingles.
+    ordered = shingle.join(counts.where("df > 1"), ["h", "t"], "left").withColumn(
+        "at", F.row_number().over(Window.partitionBy("h", "x").orderBy(F.coalesce("df", F.lit(1)), "t"))
+    )
+    prefixes = staged(ordered.where("df > 1 AND at <= long"), "jaccard-near")
+    far = prefixes.where("NOT linked").selectExpr("h", "t", "x AS a", "n AS n_a", "label AS label_a", "at <= half AS early")
+    any_ = prefixes.where("at <= half").selectExpr("h", "t", "x AS b", "n AS n_b", "label AS label_b", "linked AS near")
+    met = far.join(any_, ["h", "t"]).where("label_a <> label_b AND (near OR early AND a < b)")
+    met = met.where(_close("n_a", "n_b", percent))
+    return met.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
 def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -268,10 +321,13 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
         "t", "node", "n", "e", "df", "hub.node AS hub", "hub.n AS hub_n", "hub.e AS hub_e"
     )
     posts = staged(posts, "jaccard-posts")
-    first = staged(_verified(documents, _first_pairs(posts, percent), words, percent), "jaccard-links")
-    labels = components(first)
-    later = _verified(documents, _later_pairs(posts, labels, percent), words, percent)
-    links = first.unionByName(later)
+    crowded = posts.where(f"df > {FEW}").select(F.col("node").alias("a")).distinct().withColumn("wanted", F.lit(True))
+    pairs = _first_pairs(posts, percent).join(crowded, "a", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+    first = staged(_compared(documents, pairs, words, percent), "jaccard-first")
+    links = first.where("linked").selectExpr("a AS u", "b AS v")
+    labels = components(links)
+    later = _verified(documents, _later_pairs(posts, first, labels, percent), words, percent)
+    links = links.unionByName(later)
     # A row of another set under a node's id belongs to the node as well.
     alias = held.select("doc_id", "n", "s1", "s2").join(classes.drop("zone"), ["n", "s1", "s2"])
     alias = alias.where("doc_id <> node").selectExpr("doc_id AS u", "node AS v")
