@@ -279,17 +279,23 @@ def _near_one_hub(first: DataFrame, labels: DataFrame, percent: int) -> DataFram
     held = held.selectExpr(
         "*", f"d - int(floor(d * (1D - {c}) / 2D - 1e-9D)) AS half", f"d - greatest(1, d - {widest}) + 1 AS long"
     )
-    shingle = held.selectExpr("h", "x", "n", "label", "linked", "half", "greatest(half, long) AS long", "explode(apart) AS t")
+    shingle = held.selectExpr("h", "x", "n", "label", "linked", "d", "half", "greatest(half, long) AS long", "explode(apart) AS t")
     counts = shingle.groupBy("h", "t").agg(F.count(F.lit(1)).alias("df"))
     # A document's differences are at most its own and the hub's shingles.
     ordered = shingle.join(counts.where("df > 1"), ["h", "t"], "left").withColumn(
         "at", F.row_number().over(Window.partitionBy("h", "x").orderBy(F.coalesce("df", F.lit(1)), "t"))
     )
     prefixes = staged(ordered.where("df > 1 AND at <= long"), "jaccard-near")
-    far = prefixes.where("NOT linked").selectExpr("h", "t", "x AS a", "n AS n_a", "label AS label_a", "at <= half AS early")
-    any_ = prefixes.where("at <= half").selectExpr("h", "t", "x AS b", "n AS n_b", "label AS label_b", "linked AS near")
+    far = prefixes.where("NOT linked").selectExpr(
+        "h", "t", "x AS a", "n AS n_a", "label AS label_a", "d AS d_a", "at AS at_a", "at <= half AS early"
+    )
+    any_ = prefixes.where("at <= half").selectExpr(
+        "h", "t", "x AS b", "n AS n_b", "label AS label_b", "d AS d_b", "at AS at_b", "linked AS near"
+    )
     met = far.join(any_, ["h", "t"]).where("label_a <> label_b AND (near OR early AND a < b)")
-    met = met.where(_close("n_a", "n_b", percent))
+    # From a pair's first shared difference on, enough must be left on both sides.
+    enough = f"1 + least(d_a - at_a, d_b - at_b) >= (d_a + d_b - {c} * (n_a + n_b)) / 2D - 1e-9D"
+    met = met.where(enough).where(_close("n_a", "n_b", percent))
     return met.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
