@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from quotelake import schemas as S
 from quotelake.functions.calendar import stamp
+from quotelake.operators.bounded import broadcast_if, fits
 from quotelake.operators.dedup import first_wins, last_wins
 from quotelake.operators.dims import with_keys
 from quotelake.operators.keys import fact_id
@@ -40,14 +41,21 @@ def last_facts(keyed: DataFrame, order: Sequence[str] = S.BATCH_ORDER) -> DataFr
     return to_facts(last_wins(keyed, S.FACT_KEY, "loaded_at", order))
 
 
+def _stored_keys(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """The stored keys that the batch has as well. A batch of checked size goes to the stored
+    facts, which are then scanned where they lie and never exchanged."""
+    keys = incoming.select(*S.FACT_KEY)
+    return stored.select(*S.FACT_KEY).join(broadcast_if(fits(keys), keys), list(S.FACT_KEY), "left_semi")
+
+
 def only_new(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming facts whose key is not stored."""
-    return incoming.join(stored.select(*S.FACT_KEY), list(S.FACT_KEY), "left_anti")
+    return incoming.join(_stored_keys(incoming, stored), list(S.FACT_KEY), "left_anti")
 
 
 def already_stored(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming facts whose key is stored."""
-    return incoming.join(stored.select(*S.FACT_KEY), list(S.FACT_KEY), "left_semi")
+    return incoming.join(_stored_keys(incoming, stored), list(S.FACT_KEY), "left_semi")
 
 
 def facts_to_add(

@@ -18,11 +18,14 @@ SOURCE_BITS = 10
 def fact_id(asset_key: str, date_key: str, source_key: str) -> str:
     """A 63-bit id that is different for different keys and sorts as they do.
 
-    The parts are packed, not hashed, so no number of facts can collide.
+    The parts are packed, not hashed, so no number of facts can collide. A source key that
+    does not fit its bits fails the query instead of running into the day.
     """
+    fits = f"{source_key} BETWEEN 0 AND {(1 << SOURCE_BITS) - 1}"
+    source = f"CASE WHEN {source_key} IS NULL OR {fits} THEN bigint({source_key}) ELSE raise_error('source key above {(1 << SOURCE_BITS) - 1}') END"
     return (
         f"(shiftleft(bigint({asset_key}), {DAY_BITS + SOURCE_BITS}) "
-        f"+ shiftleft(bigint({day_number(date_key)}), {SOURCE_BITS}) + {source_key})"
+        f"+ shiftleft(bigint({day_number(date_key)}), {SOURCE_BITS}) + {source})"
     )
 
 

@@ -70,8 +70,8 @@ def daily_performance(
 def asset_history_view(facts: DataFrame, assets: DataFrame, dates: DataFrame) -> DataFrame:
     """Every quote of the active assets with its ticker and date: the star join."""
     labels = broadcast_if(fits(assets), _labels(assets).select("asset_key", "ticker"))
-    # One row per calendar day, so never more than the calendar has.
-    days = F.broadcast(dates.select("date_key", "full_date"))
+    # Days come from payload text, so their number is checked like any other.
+    days = broadcast_if(fits(dates), dates.select("date_key", "full_date"))
     return facts.join(labels, "asset_key").join(days, "date_key").selectExpr(
         "asset_key",
         "ticker",

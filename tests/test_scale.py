@@ -105,3 +105,19 @@ def test_stored_facts_are_pruned_by_year_and_key(spark, star, capsys):
     assert "year" in text.split("PartitionFilters: ")[1].split("]")[0]
     assert "GreaterThanOrEqual(date_key,20240402)" in text
     assert marts.comparative_returns(house.facts(), house.assets(), 90, dt.date(2024, 7, 1)).count() == 1
+
+
+def test_a_small_batch_leaves_stored_facts_where_they_lie(spark, hot, capsys):
+    from quotelake.operators.facts import only_new
+
+    batch = hot.limit(5)
+    text = plan(only_new(batch.selectExpr("*"), hot), capsys)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_source_keys_that_do_not_fit_fail(spark):
+    from quotelake.operators.keys import fact_id
+
+    row = spark.range(1).selectExpr("1 AS a", "20240101 AS d", "1024 AS s")
+    with pytest.raises(Exception, match="source key above 1023"):
+        row.selectExpr(fact_id("a", "d", "s")).collect()
