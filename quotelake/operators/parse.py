@@ -18,7 +18,9 @@ from quotelake.operators.once import once
 UNKNOWN_SOURCE = "unknown_source"
 BAD_JSON = "bad_json"
 BAD_ELEMENT = "bad_element"
+BAD_PAYLOAD = "bad_payload"
 OUT_OF_RANGE = "out_of_range"
+TOO_LONG = "too_long"
 
 NUMBERS = {"open": S.PRICE, "high": S.PRICE, "low": S.PRICE, "close": S.PRICE, "volume": S.VOLUME}
 
@@ -71,7 +73,8 @@ _JUDGED = _struct(
     **{name: f"e.{name}" for name in NUMBERS},
     wanted=_WANTED,
     bad=f"(NOT e.texts OR ({_WANTED} AND NOT e.numeric))",
-    out_of_range=f"({_WANTED} AND e.numeric AND NOT e.fits)",
+    unfit=f"CASE WHEN {_WANTED} AND e.numeric THEN CASE WHEN NOT e.fits THEN '{OUT_OF_RANGE}' "
+    f"WHEN char_length(e.ticker) > {S.MAX_LENGTH['dim_assets']['ticker']} THEN '{TOO_LONG}' END END",
 )
 
 
@@ -90,7 +93,8 @@ def record_outcomes(lake: DataFrame) -> DataFrame:
         elements = f"transform({elements}, {shape})"
     parsed = once(parsed, judged=f"CASE WHEN root IS NOT NULL THEN {elements} END")
     reason = (
-        f"CASE WHEN known_source IS NULL THEN '{UNKNOWN_SOURCE}' WHEN root IS NULL THEN '{BAD_JSON}' "
+        f"CASE WHEN known_source IS NULL THEN '{UNKNOWN_SOURCE}' WHEN raw_content IS NULL THEN '{BAD_PAYLOAD}' "
+        f"WHEN root IS NULL THEN '{BAD_JSON}' "
         f"WHEN exists(judged, e -> e.bad) THEN '{BAD_ELEMENT}' END"
     )
     return once(parsed, reason=reason).selectExpr(
@@ -106,7 +110,7 @@ def parsed_quotes(outcomes: DataFrame) -> DataFrame:
     """The quotes of the accepted records."""
     return (
         outcomes.selectExpr("source", "loaded_at", "record_id", "inline(elements)")
-        .where("wanted AND NOT out_of_range")
+        .where("wanted AND unfit IS NULL")
         .select(*S.QUOTES.fieldNames())
     )
 
@@ -115,8 +119,8 @@ def rejects(outcomes: DataFrame) -> DataFrame:
     """Rejected records, and single elements no fact column can hold, with the reason."""
     whole = "array(named_struct('element_pos', CAST(NULL AS INT), 'why', reason))"
     single = (
-        "transform(filter(elements, e -> e.out_of_range), "
-        f"e -> named_struct('element_pos', e.element_pos, 'why', '{OUT_OF_RANGE}'))"
+        "transform(filter(elements, e -> e.unfit IS NOT NULL), "
+        "e -> named_struct('element_pos', e.element_pos, 'why', e.unfit))"
     )
     found = f"inline(CASE WHEN reason IS NOT NULL THEN {whole} ELSE {single} END)"
     return outcomes.selectExpr("record_id", "source", found).withColumnRenamed("why", "reason")
@@ -136,16 +140,16 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
         "records": "count(*)",
         "records_processed": "count_if(reason IS NULL)",
         "records_rejected": "count_if(reason IS NOT NULL)",
-        "quotes_parsed": elements_where("e.wanted AND NOT e.out_of_range"),
+        "quotes_parsed": elements_where("e.wanted AND e.unfit IS NULL"),
         "elements_skipped": elements_where("NOT e.wanted"),
-        "elements_rejected": elements_where("e.out_of_range"),
+        "elements_rejected": elements_where("e.unfit IS NOT NULL"),
     }
     return outcomes.agg(*(F.expr(counter).alias(name) for name, counter in counters.items()))
 
 
 def outcomes_by_source(outcomes: DataFrame) -> DataFrame:
     """Records and quotes per source and outcome."""
-    quotes = "coalesce(size(filter(elements, e -> e.wanted AND NOT e.out_of_range)), 0)"
+    quotes = "coalesce(size(filter(elements, e -> e.wanted AND e.unfit IS NULL)), 0)"
     counted = outcomes.selectExpr(
         "source", "coalesce(reason, 'processed') AS outcome", f"{quotes} AS quotes"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,20 @@ def orphans(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return rows.join(dim.select(key), key, "left_anti")
 
 
+def constraint_counts(
+    unique: dict[str, tuple[DataFrame, Sequence[str]]],
+    references: dict[str, tuple[DataFrame, DataFrame, str]],
+) -> DataFrame:
+    """How many keys break each unique rule and how many rows each reference rule."""
+    found = [("unique", name, duplicate_keys(rows, keys)) for name, (rows, keys) in unique.items()]
+    found += [("reference", name, orphans(rows, dim, key)) for name, (rows, dim, key) in references.items()]
+    counts = (
+        broken.agg(F.count("*").alias("n_broken")).selectExpr(f"'{rule}' AS rule", f"'{name}' AS subject", "n_broken")
+        for rule, name, broken in found
+    )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def domain_violations(
     rows: DataFrame, table: str, allowed: dict[str, Sequence[str]] | None = None
 ) -> DataFrame:

@@ -210,15 +210,20 @@ lake_facts AS (
 _LAKE_TYPE = "CASE arg_min(source, (ts, record_id)) WHEN 'CoinGecko' THEN 'Crypto' ELSE 'Stock' END"
 
 
-def lake_load(types: str) -> str:
-    return f"""WITH {LAKE_FACTS}, {types}
-SELECT ticker, asset_type, source AS source_name,
+# Records before this moment are the first of two loads.
+FIRST_LOAD = "TIMESTAMP '2024-01-08'"
+
+LAKE_FACT_SELECT = """SELECT ticker, asset_type, source AS source_name,
        year(d) * 10000 + month(d) * 100 + day(d) AS date_key,
        ohl::DOUBLE AS open_price, ohl::DOUBLE AS high_price, ohl::DOUBLE AS low_price,
        close::DOUBLE AS close_price, volume::DOUBLE AS volume
 FROM lake_facts JOIN types USING (ticker)"""
 
 
+def lake_load(types: str) -> str:
+    return f"WITH {LAKE_FACTS}, {types} {LAKE_FACT_SELECT}"
+
+
 # Facts as they come out of the chart payloads: numbers equal to the close were sent as null.
 CHART = f"""{FACTS},
 chart AS (
@@ -298,15 +303,15 @@ def oracle_sql() -> dict[str, str]:
 counts AS (SELECT (SELECT count(DISTINCT payload_id) FROM chart) AS charts, (SELECT count(*) FROM chart) AS chart_quotes,
                   (SELECT count(DISTINCT payload_id) FROM pairs) AS pair_sets, (SELECT count(*) FROM pairs) AS pair_quotes,
                   (SELECT count(*) FROM (SELECT DISTINCT ticker, d FROM chart)) AS chart_facts)
-SELECT 'extract' AS stage, 'YahooFinance' AS item, 'ok' AS status, charts AS rows FROM counts
-UNION ALL SELECT 'extract', 'CoinGecko', 'ok', pair_sets FROM counts
-UNION ALL SELECT 'transform', 'records_processed', 'ok', charts + pair_sets FROM counts
-UNION ALL SELECT 'transform', 'records_rejected', 'ok', 0
-UNION ALL SELECT 'transform', 'quotes_parsed', 'ok', chart_quotes + pair_quotes FROM counts
-UNION ALL SELECT 'load', 'facts_loaded', 'ok', chart_facts + pair_quotes FROM counts
-UNION ALL SELECT 'load', 'quotes_skipped', 'ok', chart_quotes - chart_facts FROM counts
-UNION ALL SELECT 'publish', 'fact_quotes', 'ok', chart_facts + pair_quotes FROM counts
-UNION ALL SELECT 'run', 'pipeline', 'ok', 8"""
+SELECT 'extract' AS stage, 'YahooFinance' AS item, 'ok' AS status, charts AS rows, CAST(NULL AS VARCHAR) AS detail FROM counts
+UNION ALL SELECT 'extract', 'CoinGecko', 'ok', pair_sets, NULL FROM counts
+UNION ALL SELECT 'transform', 'records_processed', 'ok', charts + pair_sets, NULL FROM counts
+UNION ALL SELECT 'transform', 'records_rejected', 'ok', 0, NULL
+UNION ALL SELECT 'transform', 'quotes_parsed', 'ok', chart_quotes + pair_quotes, NULL FROM counts
+UNION ALL SELECT 'load', 'facts_loaded', 'ok', chart_facts + pair_quotes, NULL FROM counts
+UNION ALL SELECT 'load', 'quotes_skipped', 'ok', chart_quotes - chart_facts, NULL FROM counts
+UNION ALL SELECT 'publish', 'fact_quotes', 'ok', chart_facts + pair_quotes, NULL FROM counts
+UNION ALL SELECT 'run', 'pipeline', 'ok', 8, NULL"""
 
     two_load_types = f"""flagged AS (
   SELECT q.*, l.is_processed FROM lake_quotes q JOIN lake l USING (record_id)),
@@ -510,6 +515,49 @@ SELECT q.ticker, strftime(d, '%Y-%m-%d') AS date, low::DOUBLE AS open, high::DOU
 FROM quotes q JOIN listed l ON l.ticker = q.ticker AND l.source = q.source WHERE q.source <> 'R'""",
         # Pipeline
         "lake_load": lake_load(two_load_types),
+        "load_compacted": lake_load(two_load_types),
+        "load_after_failure": f"""WITH {LAKE}, types AS (
+  SELECT ticker, {_LAKE_TYPE} AS asset_type FROM lake_quotes WHERE ts < {FIRST_LOAD} GROUP BY ticker),
+lake_facts AS (
+  SELECT * FROM lake_quotes WHERE ts < {FIRST_LOAD}
+  QUALIFY row_number() OVER (PARTITION BY ticker, d, source ORDER BY ts, record_id, element_pos) = 1)
+{LAKE_FACT_SELECT}""",
+        "fact_load_delta": f"""WITH {LAKE_FACTS}
+{LAKE_FACT_SELECT.replace("asset_type, ", "").replace("JOIN types USING (ticker)", "")} WHERE ts >= {FIRST_LOAD}""",
+        "lake_reingest": f"""WITH {PAIRS}
+SELECT ticker, 'Crypto' AS asset_type, 'CoinGecko' AS source_name, year(d) * 10000 + month(d) * 100 + day(d) AS date_key,
+       price::DOUBLE AS open_price, price::DOUBLE AS high_price, price::DOUBLE AS low_price, price::DOUBLE AS close_price,
+       (CASE WHEN element_pos = 0 THEN 0 ELSE volume END)::DOUBLE AS volume FROM pairs""",
+        "extract_rejects": f"""WITH {CHART}, {PAIRS}, ids AS (
+  SELECT DISTINCT 'YahooFinance' AS source, payload_id FROM chart
+  UNION ALL SELECT DISTINCT 'CoinGecko', payload_id FROM pairs)
+SELECT source, source || '/' || payload_id AS endpoint, 'bad_payload' AS reason FROM ids WHERE payload_id % 7 = 0""",
+        "publish_added": f"""WITH {LAKE_FACTS}
+SELECT CASE WHEN ts < {FIRST_LOAD} THEN 1 ELSE 2 END AS version, count(*) AS n_facts FROM lake_facts GROUP BY 1""",
+        "lake_faults": """
+SELECT event_id AS record_id, 'YahooFinance' AS source, [1, 0, -1, -1, 0, 0, -1][event_id % 7 + 1]::INTEGER AS element_pos,
+       ['out_of_range', 'too_long', 'bad_element', 'bad_element', '', '', 'bad_payload'][event_id % 7 + 1] AS reason
+FROM events WHERE event_id % 7 NOT IN (4, 5)""",
+        "lake_fault_metrics": """
+SELECT count(*) AS records, count(*) FILTER (WHERE event_id % 7 IN (0, 1, 4, 5)) AS records_processed,
+       count(*) FILTER (WHERE event_id % 7 IN (2, 3, 6)) AS records_rejected,
+       count(*) FILTER (WHERE event_id % 7 IN (0, 1, 4, 5)) AS quotes_parsed,
+       count(*) FILTER (WHERE event_id % 7 IN (4, 5)) AS elements_skipped,
+       count(*) FILTER (WHERE event_id % 7 IN (0, 1)) AS elements_rejected FROM events""",
+        "asset_history_one": f"""WITH {HISTORY}
+SELECT strftime(d, '%Y-%m-%d') AS date, low::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low,
+       close::DOUBLE AS close, volume::DOUBLE AS volume
+FROM history WHERE nth <= 365 AND ticker = (SELECT min(ticker) FROM assets WHERE is_active)""",
+        "dq_constraints": f"""WITH {QUOTES}, {ASSETS}, repeated AS (
+  SELECT 1 FROM quotes GROUP BY asset_key, date_key, source_key HAVING count(*) > 1)
+SELECT 'unique' AS rule, 'dim_assets.ticker' AS subject, count(ticker) - count(DISTINCT ticker) AS n_broken FROM assets
+UNION ALL SELECT 'unique', 'dim_dates.full_date', 0
+UNION ALL SELECT 'unique', 'dim_sources.source_name', 0
+UNION ALL SELECT 'unique', 'orders.full_date', count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderdate::DATE HAVING count(*) > 1)
+UNION ALL SELECT 'unique', 'fact_quotes.key', count(*) FROM repeated
+UNION ALL SELECT 'reference', 'fact_quotes.asset_key', count(*) FROM quotes WHERE asset_key NOT IN (SELECT asset_key FROM assets)
+UNION ALL SELECT 'reference', 'fact_quotes.date_key', 0
+UNION ALL SELECT 'reference', 'fact_quotes.source_key', count(*) FROM quotes WHERE source_key <= 1""",
         "etl_run_report": report,
         "stream_load": lake_load(two_load_types),
     }

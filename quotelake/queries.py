@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from quotelake import schemas as S
 from quotelake.functions.calendar import look_back
@@ -20,7 +21,7 @@ from quotelake.session import shared_dir, staged
 from quotelake.sources import lake as lakes
 from quotelake.sources import payloads as feeds
 from quotelake.sources import tables
-from quotelake.sources.warehouse import Warehouse, no_rows
+from quotelake.sources.warehouse import Warehouse, compact, no_rows
 from quotelake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,14 @@ def asset_history(spark: SparkSession, folder: str) -> DataFrame:
     return plain(marts.asset_histories(*_star(spark, folder), days=30))
 
 
+@_query
+def asset_history_one(spark: SparkSession, folder: str) -> DataFrame:
+    """The history page of the first active ticker, whose wish for 1000 rows is clamped."""
+    quotes, assets, dates = _star(spark, folder)
+    ticker = assets.where("is_active").agg({"ticker": "min"}).first()[0]
+    return plain(marts.asset_history(quotes, assets, dates, ticker, 1000))
+
+
 @_query
 def comparative_returns(spark: SparkSession, folder: str) -> DataFrame:
     return plain(marts.comparative_returns(*_compare(spark, folder)))
@@ -317,8 +326,9 @@ def fact_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def fact_delta_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The facts behind a last id, which here lies inside the first asset."""
-    return plain(tables.facts(spark, folder).where(f"id > {fact_id('0', STORED_BEFORE, '0')}"))
+    """The facts of one snapshot behind a last id, which here lies inside the first asset."""
+    last = spark.range(1).selectExpr(fact_id("0", str(STORED_BEFORE), "0")).first()[0]
+    return plain(facts.facts_after(tables.facts(spark, folder), last))
 
 
 @_query
@@ -345,9 +355,47 @@ def publish_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return plain(etl.replica(tables.assets(spark, folder)))
 
 
+@_query
+def publish_added(spark: SparkSession, folder: str) -> DataFrame:
+    """The lake loaded and published in two steps: the facts each version copied."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    lake, target = tables.lake(spark, folder), shared_dir(spark, "published")
+    for part in ("is_processed", "NOT is_processed"):
+        etl.load_records(house, lake.where(part), now=NOW)
+        etl.publish(house, target)
+    rows = etl.published(spark, target, "fact_quotes")
+    return rows.selectExpr(
+        "int(regexp_extract(_metadata.file_path, 'version=([0-9]+)-', 1)) AS version"
+    ).groupBy("version").count().withColumnRenamed("count", "n_facts")
+
+
 # Data quality
 
 
+@_query
+def dq_constraints(spark: SparkSession, folder: str) -> DataFrame:
+    """All unique and reference rules of the star schema over the quotes as they come."""
+    quotes = tables.keyed_quotes(spark, folder)
+    assets, dates, sources = (
+        tables.assets(spark, folder), tables.dates(spark, folder), tables.sources(spark)
+    )
+    wanted = tables.table(spark, folder, "orders").selectExpr("CAST(o_orderdate AS DATE) AS full_date")
+    return quality.constraint_counts(
+        unique={
+            "dim_assets.ticker": (assets, ["ticker"]),
+            "dim_dates.full_date": (dates, ["full_date"]),
+            "dim_sources.source_name": (sources, ["source_name"]),
+            "orders.full_date": (wanted, ["full_date"]),
+            "fact_quotes.key": (quotes, S.FACT_KEY),
+        },
+        references={
+            "fact_quotes.asset_key": (quotes, assets, "asset_key"),
+            "fact_quotes.date_key": (quotes, dates, "date_key"),
+            "fact_quotes.source_key": (quotes, sources.where("source_key > 1"), "source_key"),
+        },
+    )
+
+
 @_query
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
     """Keys that the quotes repeat, which the fact must not."""
@@ -396,6 +444,18 @@ def lake_mark_processed(spark: SparkSession, folder: str) -> DataFrame:
     return plain(lakes.mark_processed(lake, done))
 
 
+@_query
+def lake_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects of records with seven different faults; -1 stands for the whole record."""
+    outcomes = parse.record_outcomes(tables.faulty_lake(spark, folder))
+    return parse.rejects(outcomes).na.fill(-1, ["element_pos"])
+
+
+@_query
+def lake_fault_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return parse.outcome_counts(parse.record_outcomes(tables.faulty_lake(spark, folder)))
+
+
 @_query
 def load_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return parse.outcome_counts(parse.record_outcomes(tables.lake(spark, folder)))
@@ -456,10 +516,10 @@ def watchlist_filter(spark: SparkSession, folder: str) -> DataFrame:
 # Pipeline
 
 
-def _readable(house: Warehouse) -> DataFrame:
+def _readable(house: Warehouse, after_load: int | None = None) -> DataFrame:
     """Facts with ticker and source name in place of the keys."""
     return (
-        house.facts()
+        house.facts(after_load)
         .join(house.assets().select("asset_key", "ticker", "asset_type"), "asset_key")
         .join(house.sources().select("source_key", "source_name"), "source_key")
         .select(
@@ -479,6 +539,70 @@ def lake_load(spark: SparkSession, folder: str) -> DataFrame:
     return plain(_readable(house))
 
 
+class _Dying(Warehouse):
+    """A writer that dies before its commit."""
+
+    def commit(self, row: Row, replaces: bool = False) -> None:
+        raise OSError("died before the commit")
+
+
+@_query
+def load_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, a second one that dies before its commit, and a third without quotes: only
+    the facts of the first are there."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    lake = tables.lake(spark, folder)
+    etl.load_records(house, lake.where("is_processed"), now=NOW)
+    try:
+        etl.load_records(_Dying(spark, house.root), etl.pending(house, lake), now=NOW)
+    except OSError:
+        etl.load_records(house, lake.where("raw_content IS NULL"), now=NOW)
+    return plain(_readable(house))
+
+
+@_query
+def load_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads, compacted, read back with their dimensions."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    lake = tables.lake(spark, folder)
+    for part in ("is_processed", "NOT is_processed"):
+        etl.load_records(house, lake.where(part), now=NOW)
+    compact(house)
+    return plain(_readable(house))
+
+
+@_query
+def fact_load_delta(spark: SparkSession, folder: str) -> DataFrame:
+    """What the second of two loads added, days of old assets included."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    lake = tables.lake(spark, folder)
+    for part in ("is_processed", "NOT is_processed"):
+        etl.load_records(house, lake.where(part), now=NOW)
+    return plain(_readable(house, after_load=1).drop("asset_type"))
+
+
+@_query
+def lake_reingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Pair payloads landed with their first point alone, and again whole under the same id."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    whole, lake_path = tables.pair_payloads(spark, folder), shared_dir(spark, "lake")
+    first = r"""concat(regexp_extract(payload, '^[^\\]]*\\]', 0), '],"total_volumes":[]}')"""
+    for part in (whole.withColumn("payload", F.expr(first)), whole):
+        etl.run_pipeline(house, part, lake_path, now=NOW)
+    return plain(_readable(house))
+
+
+@_query
+def extract_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads of which every seventh is cut short: each of these is rejected by name."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    lake_path = shared_dir(spark, "lake")
+    cut = "CASE WHEN payload_id % 7 = 0 THEN left(payload, 20) ELSE payload END"
+    etl.run_pipeline(house, _payloads(spark, folder).withColumn("payload", F.expr(cut)), lake_path, now=NOW)
+    lake = spark.read.schema(S.LAKE).parquet(lake_path)
+    return house.rejects().join(lake.select("record_id", "endpoint"), "record_id").select("source", "endpoint", "reason")
+
+
 @_query
 def etl_run_report(spark: SparkSession, folder: str) -> DataFrame:
     """Both providers' payloads through all four stages."""

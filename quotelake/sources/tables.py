@@ -148,6 +148,32 @@ def lake(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def faulty_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """One lake record per event, each with one of seven faults by its id."""
+    ticker = "concat('V', user_id)"
+    day = "string(CAST(ts AS DATE))"
+    text_price = "'\"8\"'"
+
+    def quote(ticker: str = ticker, day: str = day, close: str = "'7.5'") -> str:
+        return f"""concat('{{"ticker":"', {ticker}, '","date":"', {day}, '","close":', {close}, '}}')"""
+
+    content = f"""CASE event_id % 7
+        WHEN 0 THEN concat('[', {quote()}, ',', {quote(close="'12345678901.5'")}, ']')
+        WHEN 1 THEN concat('[', {quote(ticker="repeat('W', 21)")}, ',', {quote()}, ']')
+        WHEN 2 THEN concat('[{{"date":"', {day}, '","close":1}}]')
+        WHEN 3 THEN concat('[', {quote(close=text_price)}, ']')
+        WHEN 4 THEN concat('[', {quote()}, ',{{"ticker":null,"date":"', {day}, '","close":2}}]')
+        WHEN 5 THEN concat('[', {quote(day="'soon'")}, ',', {quote()}, ']') END"""
+    return table(spark, folder, "events").selectExpr(
+        "event_id AS record_id",
+        f"'{S.YAHOO}' AS source",
+        f"'{S.YAHOO}' AS endpoint",
+        f"{content} AS raw_content",
+        "ts AS loaded_at",
+        "false AS is_processed",
+    )
+
+
 def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """The facts as chart payloads, one per asset, source and year.
 

@@ -1,14 +1,16 @@
 """The stored tables, written one load at a time.
 
-Every load writes its own ``load=N`` directories and, last of all, its row in ``commits``.
-Readers see only committed loads. A load that died is repeated under the same number and
-overwrites what it left behind, so a load counts once however often it starts. There is
-one writer.
+Every attempt at a load writes folders of its own and, last of all, its commit: one small
+JSON file that is created only if that number is not taken. The commit names every folder
+that belongs to the warehouse as of this load, and readers read the named folders only. So
+what a dead attempt left is never seen, and of two writers that start from the same load
+one gets the number and the other a ``CommitConflict``, with nothing lost or overwritten.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+import json
+import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from quotelake import schemas as S
 from quotelake.functions.calendar import key_year
+from quotelake.sources import files
 
 COMMITS = T.StructType(
     [
@@ -36,6 +39,21 @@ COMMITS = T.StructType(
 DIMS = {"dim_assets": S.DIM_ASSETS, "dim_sources": S.DIM_SOURCES}
 YEAR = T.StructField("year", T.IntegerType())
 LOAD = T.StructField("load", T.IntegerType())
+FACTS = T.StructType([*S.FACT_QUOTES.fields, LOAD, YEAR])
+RECORD = (T.StructField("record_id", T.LongType()), T.StructField("source", T.StringType()))
+REASON = T.StructField("reason", T.StringType())
+# Tables that grow by a folder per load; the dimensions are rewritten whole.
+GROWING = {
+    "fact_quotes": FACTS,
+    "dim_dates": S.DIM_DATES,
+    "outcomes": T.StructType([*RECORD, REASON]),
+    "rejects": T.StructType([*RECORD, T.StructField("element_pos", T.IntegerType()), REASON]),
+    "runs": T.StructType([T.StructField("run", T.StringType())]),
+}
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed this load; load again on top of it."""
 
 
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -44,9 +62,14 @@ def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """A handle on the stored tables. It follows the newest commit, or stays at commit ``at``."""
+
+    def __init__(self, spark: SparkSession, root: str, at: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.at = at
+        self._attempts: dict[int, str] = {}
+        self._tables: dict[int, set[str]] = {}
 
     @classmethod
     def create(cls, spark: SparkSession, root: str) -> Warehouse:
@@ -57,81 +80,144 @@ class Warehouse:
         house.commit(Row(load=0, dims_load=0))
         return house
 
-    def path(self, table: str, load: int | None = None) -> str:
-        return f"{self.root}/{table}" + ("" if load is None else f"/load={load}")
+    def pinned(self) -> Warehouse:
+        """A handle of its own that stays at what is the newest commit now."""
+        return type(self)(self.spark, self.root, self.last["load"])
+
+    def path(self, table: str, load: int) -> str:
+        """This handle's own folder for a table of a load it is writing."""
+        attempt = self._attempts.setdefault(load, f"{load:010d}-{uuid.uuid4().hex}")
+        return f"{self.root}/{table}/attempt={attempt}"
 
     def write(self, table: str, load: int, rows: DataFrame, *partitions: str) -> None:
-        rows.write.mode("overwrite").partitionBy(*partitions).parquet(self.path(table, load))
+        # Only this handle's attempt can lie there, so only its own retry is overwritten.
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partitions).parquet(self.path(table, load))
+        self._tables.setdefault(load, set()).add(table)
 
     def written(self, table: str, load: int) -> DataFrame:
-        """What a load wrote, committed or not."""
+        """What this handle wrote for a load, committed or not."""
         return self.spark.read.parquet(self.path(table, load))
 
-    def commit(self, row: Row) -> None:
+    def commit(self, row: Row, replaces: bool = False) -> None:
+        """Publishes what this handle wrote for the load, on top of the folders of the load
+        before it, or in place of them."""
         values = row.asDict()
-        columns = (
-            F.lit(values.get(field.name)).cast(field.dataType).alias(field.name)
-            for field in COMMITS.fields
-            if field.name != "load"
-        )
-        one = self.spark.range(1, numPartitions=1).select(*columns)
-        self.write("commits", values["load"], one)
-        self.__dict__.pop("last", None)
+        load = values["load"]
+        self.path("", load)
+        before = self._commit(load - 1) if load else {"folders": {}, "streams": {}}
+        attempt, wrote = self._attempts[load], self._tables.get(load, set())
+        folders = {
+            name: ([] if replaces or name in DIMS and name in wrote else before["folders"].get(name, []))
+            + ([attempt] if name in wrote else [])
+            for name in (*DIMS, *GROWING)
+        }
+        streams = dict(before["streams"])
+        if values.get("stream_id") is not None:
+            streams[values["stream_id"]] = values["batch_id"]
+        content = {name: values.get(name) for name in COMMITS.fieldNames()}
+        text = json.dumps({**content, "folders": folders, "streams": streams})
+        if not files.create(self.spark, self._commit_path(load), text):
+            raise CommitConflict(f"load {load} of {self.root} is committed already")
+
+    def _commit_path(self, load: int) -> str:
+        return f"{self.root}/commits/{load:010d}.json"
+
+    def _commit(self, load: int) -> dict:
+        return json.loads(files.text(self.spark, self._commit_path(load)))
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).parquet(self.path("commits"))
-
-    @cached_property
-    def last(self) -> Row:
-        """The newest commit."""
-        return self.commits().orderBy(F.desc("load")).first()
-
-    def _committed(self, table: str, schema: T.StructType) -> DataFrame:
-        # The commits are written last, so an unfinished load lies above the newest one.
-        rows = self.spark.read.schema(schema.add(LOAD)).parquet(self.path(table))
-        return rows.where(f"load <= {self.last['load']}")
-
-    def _dim(self, table: str) -> DataFrame:
-        return self.spark.read.schema(DIMS[table]).parquet(self.path(table, self.last["dims_load"]))
+        return self.spark.read.schema(COMMITS).json(f"{self.root}/commits")
+
+    @property
+    def last(self) -> dict:
+        """The commit this handle reads, looked up on every use."""
+        if self.at is not None:
+            return self._commit(self.at)
+        names = files.names(self.spark, f"{self.root}/commits", "*.json")
+        return self._commit(int(max(names).removesuffix(".json")))
+
+    def _read(self, table: str, schema: T.StructType, commit: dict | None = None) -> DataFrame:
+        folders = (commit or self.last)["folders"][table]
+        if not folders:
+            return no_rows(self.spark, schema)
+        return files.read_parts(self.spark, schema, f"{self.root}/{table}", [f"attempt={name}" for name in folders])
 
     def assets(self) -> DataFrame:
-        return self._dim("dim_assets")
+        return self._read("dim_assets", S.DIM_ASSETS)
 
     def sources(self) -> DataFrame:
-        return self._dim("dim_sources")
+        return self._read("dim_sources", S.DIM_SOURCES)
 
     def dates(self) -> DataFrame:
-        return self._committed("dim_dates", T.StructType(list(S.DIM_DATES.fields))).drop("load")
-
-    def facts(self) -> DataFrame:
-        """The quote fact with its ``year``, by which its files are laid out."""
-        if self.last["dims_load"] == 0:
-            return no_rows(self.spark, T.StructType([*S.FACT_QUOTES.fields, YEAR]))
-        return self._committed("fact_quotes", T.StructType([*S.FACT_QUOTES.fields, YEAR])).drop("load")
+        return self._read("dim_dates", S.DIM_DATES)
+
+    def facts(self, after_load: int | None = None) -> DataFrame:
+        """The quote fact with its ``year``, by which its files are laid out; with
+        ``after_load``, the facts that later loads added, of old assets as of new ones."""
+        commit = self.last
+        if after_load is not None:
+            added = [name for name in commit["folders"]["fact_quotes"] if int(name.split("-")[0]) > after_load]
+            commit = {"folders": {"fact_quotes": added}}
+        facts = self._read("fact_quotes", FACTS, commit)
+        if after_load is not None:
+            # A compacted folder holds older loads as well.
+            facts = facts.where(F.col("load") > after_load)
+        return facts.drop("load")
 
     def outcomes(self) -> DataFrame:
         """Id, source and reason of every record any load has read."""
-        return self._log("outcomes", "record_id long, source string, reason string")
+        return self._read("outcomes", GROWING["outcomes"])
 
     def rejects(self) -> DataFrame:
         """Rejected records, and single rejected elements by position, with the reason."""
-        return self._log("rejects", "record_id long, source string, element_pos int, reason string")
+        return self._read("rejects", GROWING["rejects"])
+
+    def runs(self) -> DataFrame:
+        """The lake's ingest runs that loads have read."""
+        return self._read("runs", GROWING["runs"])
+
+    def folder_count(self) -> int:
+        """The most folders a table is read from."""
+        return max(len(folders) for folders in self.last["folders"].values())
 
-    def _log(self, table: str, columns: str) -> DataFrame:
-        schema = T.StructType.fromDDL(columns)
-        if self.last["load"] == 0:
-            return no_rows(self.spark, schema)
-        return self._committed(table, schema).drop("load")
+
+def compact(house: Warehouse) -> int:
+    """Rewrites every growing table into one folder, as a load without records.
+
+    Facts keep the number of the load that added them. The replaced folders stay, so a
+    reader pinned to an older commit is still served.
+    """
+    base = house.pinned()
+    commit = base.last
+    load = commit["load"] + 1
+    for name, schema in GROWING.items():
+        if not commit["folders"][name]:
+            continue
+        rows = base._read(name, schema, commit)
+        if name == "fact_quotes":
+            _store_facts(base, load, rows)
+        else:
+            base.write(name, load, rows.coalesce(1) if name == "dim_dates" else rows)
+    for name in DIMS:
+        base.write(name, load, base._read(name, DIMS[name], commit))
+    base.commit(Row(load=load, dims_load=commit["dims_load"]), replaces=True)
+    return load
 
 
 def write_facts(house: Warehouse, load: int, facts: DataFrame) -> None:
-    """Stores facts by year, sorted by asset and date inside the files.
+    """Stores the facts a load adds by year, sorted by asset and date inside the files.
 
     The range partitioning takes the whole key, so a hot year or asset spreads over tasks,
     and each file covers few assets, which lets a reader skip row groups.
     """
+    _store_facts(
+        house, load, facts.selectExpr(*S.FACT_QUOTES.fieldNames(), f"{load} AS load", f"{key_year('date_key')} AS year")
+    )
+
+
+def _store_facts(house: Warehouse, load: int, rows: DataFrame) -> None:
     order = ("year", "asset_key", "date_key", "source_key")
-    rows = facts.selectExpr(*S.FACT_QUOTES.fieldNames(), f"{key_year('date_key')} AS year")
     house.write(
         "fact_quotes", load, rows.repartitionByRange(*order).sortWithinPartitions(*order), "year"
     )
