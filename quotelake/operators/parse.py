@@ -82,6 +82,8 @@ def record_outcomes(lake: DataFrame) -> DataFrame:
     """One row per lake record: its source, its elements, or the reason for its reject."""
     known = lake.selectExpr(
         "record_id", "loaded_at", "raw_content",
+        # A payload its normaliser refused was landed without content, its id in the endpoint.
+        "coalesce(raw_content IS NULL AND startswith(endpoint, concat(source, '/')), false) AS refused",
         "source AS given_source", f"{known_source('source')} AS known_source",
     )
     # A record of an unknown source is rejected unread.
@@ -93,7 +95,7 @@ def record_outcomes(lake: DataFrame) -> DataFrame:
         elements = f"transform({elements}, {shape})"
     parsed = once(parsed, judged=f"CASE WHEN root IS NOT NULL THEN {elements} END")
     reason = (
-        f"CASE WHEN known_source IS NULL THEN '{UNKNOWN_SOURCE}' WHEN raw_content IS NULL THEN '{BAD_PAYLOAD}' "
+        f"CASE WHEN known_source IS NULL THEN '{UNKNOWN_SOURCE}' WHEN refused THEN '{BAD_PAYLOAD}' "
         f"WHEN root IS NULL THEN '{BAD_JSON}' "
         f"WHEN exists(judged, e -> e.bad) THEN '{BAD_ELEMENT}' END"
     )

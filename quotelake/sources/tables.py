@@ -167,7 +167,7 @@ def faulty_lake(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(
         "event_id AS record_id",
         f"'{S.YAHOO}' AS source",
-        f"'{S.YAHOO}' AS endpoint",
+        f"'{S.YAHOO}' || CASE event_id % 7 WHEN 6 THEN '/' || event_id ELSE '' END AS endpoint",
         f"{content} AS raw_content",
         "ts AS loaded_at",
         "false AS is_processed",
