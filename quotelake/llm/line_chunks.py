@@ -12,6 +12,11 @@ once never leave the first pass. For the others the texts are met with their mar
 one exchange, and equal hashes are grouped with their bytes; a hash that stands for several
 byte strings is resolved by the strings themselves.
 
+Chunks alone leave most of a passage that starts or ends inside a line. ``dedup_passages``
+removes what the chunks remove and every run of ``passages.RUN`` words or more that stands
+earlier. Both rules look to an earlier occurrence in the same order, so of all that is removed
+one occurrence stays.
+
 Nulls and edges: a null text stays null; a text all of whose chunks are removed is empty;
 blank units count as units but not as words; rows without ``doc_id`` come last in the order;
 rows equal in id and text are one document, so they lose and keep the same chunks; an empty
@@ -29,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm import passages
 from quotelake.llm.common import map_arrow, slices
 from quotelake.session import shared_dir, staged
 
@@ -44,6 +50,7 @@ _LINE = re.compile(rb"[^\n]*\n|[^\n]+")
 _SENTENCE = re.compile(rb".*?[.!?](?:[\x20\x09]+|\n|$)|.+?$", re.DOTALL)
 _MASK = (1 << 64) - 1
 _FACTOR = 0x9E3779B97F4A7C15
+_RUNS = "array<struct<at:int,n:int,check:boolean>>"
 
 
 class Chunk(NamedTuple):
@@ -181,37 +188,61 @@ def _resolved(marked: DataFrame, mixed: DataFrame) -> DataFrame:
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """The documents with repeated chunks removed from ``text``; rows, other columns and their
     order stay. ``removed`` (array of struct start, end in bytes) is added last."""
+    return _without_repeats(documents, _marks(documents).withColumn("runs", F.expr(f"cast(NULL AS {_RUNS})")))
+
+
+def dedup_passages(documents: DataFrame) -> DataFrame:
+    """As ``dedup_lines``, and without the passages that occur again; overlapping parts are one
+    in ``removed``."""
+    runs = passages.runs(_key(documents.select("doc_id", "text")))
+    return _without_repeats(documents, _marks(documents).join(runs, ["k_id", "k_text"], "full"))
+
+
+def _without_repeats(documents: DataFrame, marks: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     names = documents.columns
     packed = documents.select(F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"), "doc_id", "text")
     keyed = _key(packed)
-    marks = _marks(documents)
-    marked = keyed.join(marks, ["k_id", "k_text"], "left").select("row", "k_id", "k_text", "marks")
+    marked = keyed.join(marks, ["k_id", "k_text"], "left").select("row", "k_id", "k_text", "marks", "runs")
     folder = shared_dir(spark, "chunk-marked")
     marked.write.option("compression", "zstd").parquet(folder)
     marked = spark.read.schema(marked.schema).parquet(folder)
-    marked = marked.withColumn("text", F.expr("CASE WHEN marks IS NOT NULL THEN row.text END"))
+    marked = marked.withColumn("text", F.expr("CASE WHEN marks IS NOT NULL OR runs IS NOT NULL THEN row.text END"))
     mixed = staged(_mixed_hashes(marked), "chunk-mixed")
     if mixed.head(1):
         marked = _resolved(marked, mixed)
+    checks = F.expr("coalesce(exists(runs, r -> r.check), false)")
+    later = staged(passages.later_windows(marked), "chunk-later-windows")
+    marked = marked.where(~checks).withColumn("later", F.expr("cast(NULL AS array<int>)")).unionByName(
+        marked.where(checks).join(later, ["k_id", "k_text"], "left")
+    )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, spans = [], []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
+            for text, marks, runs, later in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
                 gone = {m["at"] for m in marks or () if not m["keeps"]}
-                if not gone:
+                windows = [(r["at"], r["n"]) for r in runs or () if not r["check"]] + [(at, 1) for at in later or ()]
+                if not gone and not windows:
                     texts.append(None)
                     spans.append([])
                     continue
-                left, cut, at = [], [], 0
-                for number, chunk in enumerate(chunks(text.encode())):
+                data = text.encode()
+                found, at = [], 0
+                for number, chunk in enumerate(chunks(data) if gone else ()):
                     if number in gone:
-                        cut.append({"start": at, "end": at + len(chunk.content)})
-                    else:
-                        left.append(chunk.content)
+                        found.append((at, at + len(chunk.content)))
                     at += len(chunk.content)
-                texts.append(b"".join(left).decode())
+                found += passages.spans(data, windows) if windows else []
+                left, cut, at = [], [], 0
+                for start, end in sorted(found):
+                    if start < at:
+                        cut[-1]["end"] = at = max(at, end)
+                        continue
+                    left.append(data[at:start])
+                    cut.append({"start": start, "end": end})
+                    at = end
+                texts.append(b"".join([*left, data[at:]]).decode())
                 spans.append(cut)
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -220,7 +251,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
     row_type = packed.schema["row"].dataType.simpleString()
     schema = f"row {row_type}, kept_text string, removed array<struct<start:bigint,end:bigint>>"
-    out = map_arrow(marked.select("row", "text", "marks"), remove, schema)
+    out = map_arrow(marked.select("row", "text", "marks", "runs", "later"), remove, schema)
     fields = [
         F.coalesce(F.col("kept_text"), F.col("row.text")).alias("text") if name == "text" else F.col("row").getField(name).alias(name)
         for name in names

@@ -53,8 +53,8 @@ def op3_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op4_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document: chunks removed, and length and checksum of what stays."""
-    return line_chunks.dedup_lines(table(spark, folder, "documents")).selectExpr(
+    """Per document: parts removed, and length and checksum of what stays."""
+    return line_chunks.dedup_passages(table(spark, folder, "documents")).selectExpr(
         "doc_id",
         "size(removed) AS n_removed",
         "bigint(aggregate(removed, 0L, (a, x) -> a + x.end - x.start)) AS removed_bytes",
@@ -130,9 +130,9 @@ def keep_good(spark: SparkSession, documents: DataFrame, folder: str) -> DataFra
 
 
 def drop_repeated_chunks(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
-    """Texts without their repeated chunks; a document that had words and keeps none goes."""
+    """Texts without their repeated chunks and passages; a document that had words and keeps none goes."""
     names = documents.columns
-    rows = line_chunks.dedup_lines(documents).where(
+    rows = line_chunks.dedup_passages(documents).where(
         r"size(removed) = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'"
     )
     if "n_chars" in names:

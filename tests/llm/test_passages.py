@@ -1,0 +1,104 @@
+"""Repeated passages against brute force over all windows of words."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from quotelake.llm import line_chunks, passages, queries
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def made_texts():
+    """Texts without common lines, passages planted mid-line at random places, near copies of
+    one text, texts that repeat in themselves, and edges."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("aeioubcdlmnrst\u00e9", k=rng.randint(2, 7)))
+    planted = [" ".join(word() for _ in range(n)) for n in (50, 55, 64, 80, 49, 130)]
+    texts = []
+    for k in range(60):
+        words = [word() + rng.choice(["", "", "", ".", "\n"]) for _ in range(rng.randint(60, 200))]
+        for _ in range(k % 3):
+            passage = rng.choice(planted).split()
+            low = rng.randint(0, len(passage) - 1) if k % 7 == 0 else 0
+            at = rng.randint(0, len(words))
+            words[at:at] = passage[low:]
+        texts.append(" ".join(words))
+    base = [word() for _ in range(300)]
+    for k in range(12):
+        near = list(base)
+        near[rng.randrange(300)] += "x"
+        texts.append(" ".join(near))
+    texts += ["the same " * 200, "the same " * 90 + "end", " ".join(base[:120] * 2), texts[3], "", "word", None]
+    return [(None if k == 5 else 100 - k, text) for k, text in enumerate(texts)], planted
+
+
+def earlier_windows(rows):
+    """Words of each document that lie in a window which stands earlier."""
+    seen, gone = set(), {}
+    for key, text in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[0] is None, r[0] or 0)):
+        data = text.encode()
+        words = [(m.start(), m.end()) for m in WORD.finditer(data)]
+        held = set()
+        for at in range(len(words) - passages.RUN + 1):
+            window = data[words[at][0] : words[at + passages.RUN - 1][1]]
+            if window in seen:
+                held.update(range(at, at + passages.RUN))
+            seen.add(window)
+        gone[key] = [words[k] for k in sorted(held)]
+    return gone
+
+
+def test_all_later_windows_go(spark):
+    rows, planted = made_texts()
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    expected = earlier_windows(rows)
+    by_chunks = {r.doc_id: r for r in line_chunks.dedup_lines(documents).collect()}
+    found = {r.doc_id: r for r in line_chunks.dedup_passages(documents).collect()}
+    assert len(found) == len(rows)
+    for key, text in rows:
+        row = found[key]
+        if text is None:
+            assert row.text is None and row.removed == []
+            continue
+        data, at, left = text.encode(), 0, b""
+        for part in row.removed:
+            assert part.start >= at
+            left += data[at : part.start]
+            at = part.end
+        assert row.text == (left + data[at:]).decode()
+        spans = [m.span() for m in WORD.finditer(data)]
+        inside = lambda removed: {s for s in spans if any(x.start <= s[0] and s[1] <= x.end for x in removed)}
+        # Exactly the words of later windows, and those of repeated chunks.
+        assert inside(row.removed) == set(expected[key]) | inside(by_chunks[key].removed)
+    # Of every planted passage that stands whole one occurrence stays.
+    for passage in (p.encode() for p in planted if len(p.split()) >= passages.RUN):
+        left = 0
+        for key, text in rows:
+            at = (text or "").encode().find(passage)
+            left += at >= 0 and not any(x.start <= at and at + len(passage) <= x.end for x in found[key].removed)
+        assert left <= 1
+    assert sum(map(len, expected.values())) > 3000
+
+
+def test_query_and_stage_remove_planted_passages(spark, tmp_path):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage = " ".join(word() for _ in range(60))
+    texts = [(k, " ".join([*(word() for _ in range(40 + k)), passage, *(word() for _ in range(30))])) for k in range(6)]
+    documents = spark.createDataFrame(texts, "doc_id bigint, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    removed = {r.doc_id: r.removed_bytes for r in queries.op4_line_chunks(spark, str(tmp_path)).collect()}
+    assert removed == {k: 0 if k == 0 else len(passage) + 1 for k in range(6)}
+    kept = queries.drop_repeated_chunks(spark, documents, "").collect()
+    assert [r.doc_id for r in kept if passage in r.text] == [0]
+
+
+def test_stretches_hold_every_window_once():
+    rows, _ = made_texts()
+    texts = [text.encode() for _, text in rows if text is not None]
+    for text, alone, made in zip(texts, (next(passages.stretches([t])) for t in texts), passages.stretches(texts)):
+        n = len(WORD.findall(text))
+        assert [k for s in made for k in range(s.at, s.at + s.n)] == list(range(max(0, n - passages.RUN + 1)))
+        assert [s[:4] for s in made] == [s[:4] for s in alone]
