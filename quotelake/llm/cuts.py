@@ -45,12 +45,13 @@ def _part(keys: list[str], first: int, bits: int) -> F.Column:
 
 def cuts(
     rows: DataFrame, group: str, keys: list[str], weight: str, targets: dict[int, list[int]], slack: dict[int, float],
-    under: bool = False,
+    under: bool = False, whole: float = 0,
 ) -> dict[int, list[Cut]]:
     """For each group and wanted weight, the boundary nearest to it, or nearest ``under`` it.
 
     A boundary is taken as soon as it is within ``slack`` of the wanted weight, else bits are
     read until a single row is left, or to the last one, where equal keys remain together.
+    Rows equal in the first of two key columns are not parted if they weigh ``whole`` or less.
     ``rows`` is read once a step, so it should be stored; keys and group must not be null.
     """
     width = 64 * len(keys)
@@ -63,12 +64,12 @@ def cuts(
     while active:
         following = []
         for first in range(0, len(active), ACTIVE):
-            following += _narrow(rows, group, keys, weight, active[first : first + ACTIVE], slack, width, found, under)
+            following += _narrow(rows, group, keys, weight, active[first : first + ACTIVE], slack, width, found, under, whole)
         active = following
     return {g: [found[g, t] for t in wanted] for g, wanted in targets.items()}
 
 
-def _narrow(rows, group, keys, weight, active, slack, width, found, under) -> list[_Bracket]:
+def _narrow(rows, group, keys, weight, active, slack, width, found, under, whole) -> list[_Bracket]:
     bits = active[0].bits
     step = min(STEP, 64 - bits % 64)
     session = rows.sparkSession
@@ -122,7 +123,8 @@ def _narrow(rows, group, keys, weight, active, slack, width, found, under) -> li
         start, end = Cut(prefix << (width - done), below), Cut((prefix + 1) << (width - done), below + counted[digit])
         nearest = start if under else min(start, end, key=lambda cut: abs(cut.below - bracket.target))
         alone = (bracket.group, *halves(bracket.prefix), digit) in single
-        if abs(nearest.below - bracket.target) <= slack.get(bracket.group, 0) or alone or done == width:
+        kept = done == 64 and counted[digit] <= whole
+        if abs(nearest.below - bracket.target) <= slack.get(bracket.group, 0) or alone or kept or done == width:
             found[bracket.group, bracket.target] = nearest
         else:
             following.append(_Bracket(bracket.group, bracket.target, prefix, done, below, counted[digit]))

@@ -3,8 +3,9 @@
 The sort key is the hash of the text, then ``doc_id``: copies of a text lie side by side.
 Splitters are found by counting bytes below candidate boundaries (``cuts``), refined until
 each meets the tolerance, and then the rows are exchanged once, by the finer bucket between
-two splitters. A boundary inside a run of equal texts is taken only if no boundary beside
-the run meets the tolerance, so copies stay in one shard unless they outweigh it.
+two splitters. Copies stay in one shard unless they outweigh a shard's even share: a lighter
+run of equal texts is not parted, its shard ends at the nearer end of the run and then misses
+the tolerance by up to half the run at either end. Within a shard buckets may part a run.
 
 Slots number a shard's rows in key order. Buckets are many to a shard and are ordered one by
 one, so no task sorts a shard.
@@ -16,12 +17,13 @@ has besides are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelake.llm.cuts import cuts, signed
+from quotelake.llm.cuts import Cut, cuts, signed
 from quotelake.session import staged
 
 SHARDS = 24
@@ -50,14 +52,24 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
     total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
     low, high = BUCKETS_PER_SHARD
     per_shard = min(high, max(low, math.ceil((count or 0) / shards / ROWS_PER_BUCKET)))
-    buckets = shards * per_shard
     total = int(total or 0)
-    targets = [total * k // buckets for k in range(1, buckets)]
-    chosen = cuts(
-        rows.withColumn("all", F.lit(0).cast("bigint")), "all", _KEYS, "size", {0: targets}, {0: total / shards * tolerance}
-    )[0]
+    rows = rows.withColumn("all", F.lit(0).cast("bigint"))
+    slack = {0: total / shards * tolerance}
+    targets = [total * k // shards for k in range(1, shards)]
+    outer = cuts(rows, "all", _KEYS, "size", {0: targets}, slack, whole=total / shards)[0]
     # The nearest boundaries of two wanted weights can lie in either order only if they are equal.
-    return [signed(boundary, 2) for boundary in sorted(cut.boundary for cut in chosen)], per_shard
+    ends = [Cut(0, 0), *sorted(outer), Cut(1 << 128, total)]
+    targets = [
+        start.below + (end.below - start.below) * k // per_shard
+        for start, end in itertools.pairwise(ends) for k in range(1, per_shard)
+    ]
+    inner = iter(cuts(rows, "all", _KEYS, "size", {0: targets}, slack)[0])
+    boundaries = []
+    for start, end in itertools.pairwise(ends):
+        held = (next(inner).boundary for _ in range(1, per_shard))
+        boundaries += sorted(min(max(at, start.boundary), end.boundary) for at in held)
+        boundaries.append(end.boundary)
+    return [signed(boundary, 2) for boundary in boundaries[:-1]], per_shard
 
 
 def bucket_of(boundaries: list[tuple[int, ...] | None]) -> F.Column:
@@ -84,7 +96,8 @@ def histogram_sort(documents: DataFrame, shards: int = SHARDS, tolerance: float
     """``doc_id``, ``size``, ``text_crc32``, the key columns, ``shard`` and ``slot`` of every document."""
     rows = staged(keyed(documents), "sort-keys")
     boundaries, per_shard = splitters(rows, shards, tolerance)
-    rows = rows.withColumn("bucket", bucket_of(boundaries))
+    # Stored: joined with its own counts, the bucket's expression can lose its columns in Spark's plan.
+    rows = staged(rows.withColumn("bucket", bucket_of(boundaries)), "sort-buckets")
     # One row per bucket: bounded by shards times BUCKETS_PER_SHARD.
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     shard = F.floor(F.col("bucket") / per_shard).cast("int")
