@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import (
-    bitplanes, chat, histogram_sort, jaccard, line_chunks, mixing, outliers, packing, patience, topk,
+    alignment, bitplanes, chat, histogram_sort, jaccard, line_chunks, mixing, outliers, packing, patience,
+    target_resampling, topk, tree_merge,
 )
 from quotelake.llm.common import table
 from quotelake.session import shared_dir
@@ -122,6 +123,21 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"))
+
+
+@_query
+def op12_tree_merge_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return tree_merge.equal_groups(table(spark, folder, "documents"))
+
+
+@_query
+def op13_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return target_resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 # Stages of the pipeline
 
 
