@@ -13,6 +13,7 @@ from quotelake.operators.bounded import broadcast_if, fits
 from quotelake.operators.dedup import first_wins, last_wins
 from quotelake.operators.dims import with_keys
 from quotelake.operators.keys import fact_id
+from quotelake.session import staged
 
 PAGE_ROWS = 10_000
 
@@ -66,8 +67,10 @@ def facts_to_add(
     order: Sequence[str] = S.BATCH_ORDER,
     now: dt.datetime | None = None,
 ) -> DataFrame:
-    """The facts a batch adds: first quote per key, unless the key is stored already."""
-    facts = first_facts(with_keys(quotes, assets, sources), order)
+    """The facts a batch adds: first quote per key, unless the key is stored already. The
+    batch's facts are written once; the comparison with the stored ones reads them twice and
+    takes their number from the files."""
+    facts = staged(first_facts(with_keys(quotes, assets, sources), order), "batch-facts")
     columns = [name for name in S.FACT_QUOTES.fieldNames() if name != "loaded_at"]
     return only_new(facts, stored).selectExpr(*columns, f"{stamp(now)} AS loaded_at")
 

@@ -36,6 +36,15 @@ facts AS (
   SELECT *, {ID} AS id FROM quotes
   QUALIFY row_number() OVER (PARTITION BY asset_key, d, source_key ORDER BY {BATCH_ORDER}) = 1)"""
 
+# Facts of the lines from the third on, with the number of lines up to the fourth of their key.
+OVERLAPPING = f"""
+keyed AS (
+  SELECT *, {ID} AS id, count(*) FILTER (WHERE element_pos <= 4) OVER (PARTITION BY asset_key, d, source_key) AS n_stored
+  FROM quotes),
+incoming AS (
+  SELECT * FROM keyed WHERE element_pos >= 3
+  QUALIFY row_number() OVER (PARTITION BY asset_key, d, source_key ORDER BY {BATCH_ORDER}) = 1)"""
+
 ASSETS = """
 assets AS (
   SELECT p_partkey AS asset_key, 'P' || p_partkey AS ticker, p_name AS name,
@@ -239,14 +248,15 @@ CHART_COLUMNS = """
   low::DOUBLE AS low, close::DOUBLE AS close, volume::DOUBLE AS volume,
   'YahooFinance' AS source, loaded_at, payload_id AS record_id, element_pos"""
 
-# Events as they come out of the pair payloads: the newest day of a month has no volume.
+# Events as they come out of the pair payloads: for a fourth of the users the newest day of a
+# month has no volume.
 PAIRS = """
 days AS (
   SELECT user_id, ts::DATE AS d, max(value)::DECIMAL(18,2) AS price, count(*) AS n
   FROM events GROUP BY ALL),
 pairs AS (
   SELECT user_id * 1000000 + year(d) * 100 + month(d) AS payload_id, 'U' || user_id AS ticker, d, price,
-         CASE WHEN lead(d) OVER months IS NULL THEN 0 ELSE n END AS volume,
+         CASE WHEN user_id % 4 = 0 AND lead(d) OVER months IS NULL THEN 0 ELSE n END AS volume,
          row_number() OVER months - 1 AS element_pos,
          strftime(date_trunc('month', d) + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S') AS loaded_at
   FROM days WINDOW months AS (PARTITION BY user_id, year(d), month(d) ORDER BY d))"""
@@ -294,9 +304,67 @@ def _domain() -> str:
     checks.append(
         _violations("dim_assets", "asset_type", "allowed", "lower(asset_type) NOT IN ('stock', 'etf', 'crypto')", dim)
     )
+    named = (
+        "(SELECT source AS source_name, '' AS base_url, true AS is_active FROM lake_quotes GROUP BY source "
+        "UNION ALL SELECT unnest(['A', 'N', 'R']), '', true)"
+    )
+    for column in ("source_name", "base_url", "is_active"):
+        checks.append(_violations("dim_sources", column, "required", f"{column} IS NULL", named))
+    for column, limit in (("source_name", 50), ("base_url", 256)):
+        checks.append(_violations("dim_sources", column, "length", f"length({column}) > {limit}", named))
     return f"WITH {LAKE}, {ASSETS} " + " UNION ALL ".join(checks)
 
 
+ASOF = f"""WITH {FACTS},
+asked AS (
+  SELECT l_orderkey, l_linenumber, l_partkey AS asset_key, l_shipdate::DATE - l_linenumber AS day, l_quantity AS quantity
+  FROM lineitem),
+quoted AS (SELECT asset_key, d, arg_min(date_key, source_key) AS date_key, arg_min(close, source_key) AS close FROM facts GROUP BY ALL)
+SELECT a.l_orderkey, a.l_linenumber, a.asset_key, strftime(a.day, '%Y-%m-%d') AS day, a.quantity,
+       q.date_key AS quote_date_key, q.close::DOUBLE AS quote
+FROM asked a ASOF LEFT JOIN quoted q ON a.asset_key = q.asset_key AND a.day >= q.d"""
+
+# The states of the assets between the days on which the dimension changed, equal neighbours as one.
+VERSIONS = """
+days(step, day) AS (
+  VALUES (0, DATE '0001-01-01'), (1, DATE '1994-06-15'), (2, DATE '1996-03-01'), (3, DATE '1997-01-01')),
+states AS (
+  SELECT p_partkey AS asset_key, step, day,
+         CASE WHEN step >= 2 AND p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS name,
+         CASE WHEN step >= 1 AND p_partkey % 3 = 0 THEN p_type || ' II' ELSE p_type END AS asset_type,
+         (p_size >= 6) <> (step >= 3 AND p_partkey % 6 = 0) AS is_active
+  FROM part, days),
+begun AS (
+  SELECT * FROM states
+  WINDOW w AS (PARTITION BY asset_key ORDER BY step)
+  QUALIFY step = 0 OR name IS DISTINCT FROM lag(name) OVER w OR asset_type IS DISTINCT FROM lag(asset_type) OVER w
+    OR is_active IS DISTINCT FROM lag(is_active) OVER w),
+versions AS (
+  SELECT asset_key, name, asset_type, is_active, day AS valid_from,
+         lead(day) OVER (PARTITION BY asset_key ORDER BY step) AS valid_to FROM begun)"""
+
+TICKS = """
+ticks AS (
+  SELECT 'U' || user_id AS ticker, user_id, ts, event_id AS seq, value::DECIMAL(18,2) AS price, event_type,
+         date_trunc('hour', ts) AS starts FROM events)"""
+BAR = """list(price ORDER BY ts, seq)[1]::DOUBLE AS open, max(price)::DOUBLE AS high, min(price)::DOUBLE AS low,
+  list(price ORDER BY ts DESC, seq DESC)[1]::DOUBLE AS close, count(*)::DOUBLE AS volume, count(*) AS n_ticks"""
+
+
+def stamp_text(value: str) -> str:
+    return f"strftime({value}, '%Y-%m-%d %H:%M:%S')"
+
+
+ALERTS = f"""WITH {TICKS},
+wanted AS (SELECT DISTINCT 'U' || user_id AS ticker, unnest(CASE WHEN user_id % 2 = 0 THEN [30, 100] ELSE [30] END) AS threshold FROM events),
+sides AS (
+  SELECT ticker, threshold, ts, seq, price, price >= threshold AS above,
+         lag(price >= threshold) OVER w AS above_before, lag(ts) OVER w AS ts_before
+  FROM ticks JOIN wanted USING (ticker) WINDOW w AS (PARTITION BY ticker, threshold ORDER BY ts, seq))
+SELECT ticker, threshold::DOUBLE AS threshold, seq, price::DOUBLE AS price, CASE WHEN above THEN 'up' ELSE 'down' END AS direction
+FROM sides WHERE above <> above_before AND ts - ts_before <= INTERVAL 3 DAY"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The check of every query, by the query's name."""
     report = f"""WITH {CHART}, {PAIRS},
@@ -426,8 +494,8 @@ SELECT 3 + {NUMBERED.format('source_name')}, source_name, '', true FROM fresh"""
   SELECT *, {ID} AS id FROM quotes
   QUALIFY row_number() OVER (PARTITION BY asset_key, d, source_key ORDER BY {BATCH_ORDER_DOWN}) = 1)
 {fact_select} newest""",
-        "fact_new_only": f"WITH {FACTS} {fact_select} facts WHERE d >= DATE '1999-01-01'",
-        "fact_existing": f"WITH {FACTS} {fact_select} facts WHERE d < DATE '1999-01-01'",
+        "fact_new_only": f"WITH {QUOTES}, {OVERLAPPING} {fact_select} incoming WHERE n_stored = 0",
+        "fact_existing": f"WITH {QUOTES}, {OVERLAPPING} {fact_select} incoming WHERE n_stored > 0",
         "fact_load": f"""WITH {QUOTES}, second_batch AS (
   SELECT * EXCLUDE (loaded_at), {ID} AS id, TIMESTAMP '2024-02-01' AS loaded_at FROM quotes q
   WHERE status <> 'F' AND NOT EXISTS (
@@ -560,4 +628,51 @@ UNION ALL SELECT 'reference', 'fact_quotes.date_key', 0
 UNION ALL SELECT 'reference', 'fact_quotes.source_key', count(*) FROM quotes WHERE source_key <= 1""",
         "etl_run_report": report,
         "stream_load": lake_load(two_load_types),
+        # Kept state
+        "kept_marts": f"""WITH {FACTS}, {ASSETS},
+parted AS (
+  SELECT *, CASE WHEN d >= DATE '1998-01-01' OR d >= DATE '1997-01-01' AND source = 'R' THEN 3
+                 WHEN d >= DATE '1997-01-01' THEN 2 ELSE 1 END AS part FROM facts),
+steps(load, day) AS (VALUES (1, DATE '1996-12-31'), (2, DATE '1997-12-31'), (3, DATE '1998-12-01')),
+seen AS (SELECT s.load, s.day, p.* FROM steps s JOIN parted p ON p.part <= s.load),
+day_closes AS (SELECT load, asset_key, d, arg_min(close, source_key) AS close FROM seen GROUP BY ALL),
+ordered AS (SELECT load, asset_key, list(close ORDER BY d DESC) AS closes FROM day_closes GROUP BY load, asset_key),
+spans AS (
+  SELECT load, asset_key, max(close) FILTER (WHERE d >= day - 365) AS high, min(close) FILTER (WHERE d >= day - 365) AS low
+  FROM seen GROUP BY load, asset_key),
+answers AS (
+  SELECT load, ticker, name, asset_type, closes[1] AS last_close, closes[2] AS previous_close, high, low
+  FROM ordered JOIN spans USING (load, asset_key) JOIN assets USING (asset_key) WHERE is_active)
+SELECT load, ticker, name, asset_type, last_close::DOUBLE AS last_close,
+       coalesce(previous_close, 0)::DOUBLE AS previous_close, {change('last_close', 'previous_close')} AS change_percent,
+       ifnull(high, last_close)::DOUBLE AS high_52w, ifnull(low, last_close)::DOUBLE AS low_52w,
+       {change('last_close', 'high')} AS pct_from_high, {change('last_close', 'low')} AS pct_from_low
+FROM answers""",
+        # Joins in time
+        "asof_quotes": ASOF,
+        "asof_quotes_ranged": ASOF,
+        "asset_versions": f"""WITH {VERSIONS}
+SELECT asset_key, 'P' || asset_key AS ticker, name, asset_type, NULL::VARCHAR AS exchange, is_active,
+       strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to FROM versions""",
+        "facts_at_versions": f"""WITH {FACTS}, {VERSIONS}
+SELECT f.asset_key, f.date_key, f.source_key, strftime(f.d, '%Y-%m-%d') AS day, f.close::DOUBLE AS close_price,
+       'P' || f.asset_key AS ticker, v.name, v.asset_type, v.is_active,
+       strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to
+FROM facts f LEFT JOIN versions v ON v.asset_key = f.asset_key AND f.d >= valid_from AND (valid_to IS NULL OR f.d < valid_to)""",
+        # Streams of ticks
+        "stream_bars": f"""WITH {TICKS},
+landed AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-15 06:30:00' AND event_type <> 'error' THEN 1 ELSE 2 END AS step FROM ticks),
+mark AS (SELECT max(ts) - INTERVAL 2 HOUR AS first FROM landed WHERE step = 1),
+placed AS (
+  SELECT *, step = 2 AND starts + INTERVAL 1 HOUR <= coalesce(first, TIMESTAMP '0001-01-01') AS late FROM landed, mark),
+ends AS (SELECT max(ts) - INTERVAL 2 HOUR AS last FROM placed WHERE NOT late),
+barred AS (SELECT ticker, starts, late, {BAR} FROM placed GROUP BY ALL)
+SELECT ticker, {stamp_text('starts')} AS starts, {stamp_text('starts + INTERVAL 1 HOUR')} AS ends, open, high, low, close, volume, n_ticks,
+       CASE WHEN late THEN 'late' WHEN starts + INTERVAL 1 HOUR <= greatest(first, last) THEN 'finished' ELSE 'open' END AS state
+FROM barred, mark, ends""",
+        "daily_bars": f"""WITH {TICKS},
+barred AS (SELECT ticker, date_trunc('day', ts)::TIMESTAMP AS starts, {BAR} FROM ticks GROUP BY ALL)
+SELECT ticker, {stamp_text('starts')} AS starts, {stamp_text('starts + INTERVAL 1 DAY')} AS ends, open, high, low, close, volume, n_ticks FROM barred""",
+        "price_alerts": ALERTS,
+        "stream_alerts": ALERTS,
     }

@@ -12,7 +12,7 @@ from quotelake.functions.rates import (
     direction, grouped, position_band, range_position, signed_percent,
 )
 from quotelake.operators.series import SMA_ROWS, moving_average
-from quotelake.plans.marts import COMPARE_DAYS, comparative_rows
+from quotelake.plans.marts import COMPARE_DAYS, comparative_rows, compared_days
 
 
 def asset_sma(histories: DataFrame, rows: int = SMA_ROWS) -> DataFrame:
@@ -74,10 +74,11 @@ def compare_grid(
     """Every ticker on every date that any ticker has; null where it has no quote.
 
     The dates of the window are one small array, and every ticker's map is read at each of
-    them, so no join pairs tickers with dates.
+    them, so no join pairs tickers with dates. The dates come from the keys alone; the
+    comparison itself runs once.
     """
     daily = _one_per_day(facts, assets, days, as_of)
-    dates = daily.select("date").distinct().agg(F.expr("array_sort(collect_list(date))")).scalar()
+    dates = compared_days(facts, assets, days, as_of).agg(F.expr("array_sort(collect_list(date))")).scalar()
     return (
         _series(daily)
         .select("ticker", "series", F.explode(dates).alias("date"))

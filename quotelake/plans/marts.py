@@ -133,6 +133,16 @@ def comparative_rows(
     )
 
 
+def compared_days(
+    facts: DataFrame, assets: DataFrame, days: int = 90, as_of: dt.date | None = None
+) -> DataFrame:
+    """The dates on which any active asset has a quote in the window."""
+    active = assets.where("is_active").select("asset_key")
+    in_range = _since(facts, as_of, clamp(days, *COMPARE_DAYS)).select("asset_key", "date_key")
+    wanted = in_range.join(broadcast_if(fits(assets), active), "asset_key", "left_semi")
+    return wanted.select("date_key").distinct().selectExpr(f"{key_date('date_key')} AS date")
+
+
 def comparative_returns(
     facts: DataFrame,
     assets: DataFrame,

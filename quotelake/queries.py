@@ -13,16 +13,18 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake import schemas as S
-from quotelake.functions.calendar import look_back
-from quotelake.operators import dims, facts, parse, quality, series
+from quotelake.functions.calendar import key_date, look_back
+from quotelake.operators import dims, facts, parse, quality, series, versions
+from quotelake.operators.asof import asof_join
+from quotelake.operators.intervals import valid_at
 from quotelake.operators.keys import fact_id
-from quotelake.plans import analytics, etl, marts
+from quotelake.plans import analytics, etl, kept, marts
 from quotelake.session import shared_dir, staged
 from quotelake.sources import lake as lakes
 from quotelake.sources import payloads as feeds
 from quotelake.sources import tables
-from quotelake.sources.warehouse import Warehouse, compact, no_rows
-from quotelake.streaming import ingest
+from quotelake.sources.warehouse import Warehouse, compact, no_rows, write_facts
+from quotelake.streaming import alerts, bars, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,9 +281,13 @@ def fact_dedup_last(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """All facts as incoming ones, and those before a day as the stored ones."""
-    incoming = tables.facts(spark, folder)
-    return incoming, incoming.where(f"date_key < {STORED_BEFORE}")
+    """The facts of an order's lines from the third on as incoming ones, those of its lines up
+    to the fourth as the stored ones: keys of either kind are on every day."""
+    quotes = tables.keyed_quotes(spark, folder)
+    stored, incoming = (
+        facts.first_facts(quotes.where(part), tables.LINE_ORDER) for part in ("element_pos <= 4", "element_pos >= 3")
+    )
+    return staged(incoming, "incoming"), staged(stored, "stored")
 
 
 @_query
@@ -415,7 +421,8 @@ def dq_domain(spark: SparkSession, folder: str) -> DataFrame:
     assets = quality.domain_violations(
         tables.assets(spark, folder), "dim_assets", {"asset_type": S.ASSET_TYPES}
     )
-    return lake.unionByName(assets)
+    named = dims.upsert_sources(tables.sources(spark), dims.sources_in(_all_quotes(spark, folder)))
+    return lake.unionByName(assets).unionByName(quality.domain_violations(named, "dim_sources"))
 
 
 # Lake
@@ -542,7 +549,7 @@ def lake_load(spark: SparkSession, folder: str) -> DataFrame:
 class _Dying(Warehouse):
     """A writer that dies before its commit."""
 
-    def commit(self, row: Row, replaces: bool = False) -> None:
+    def commit(self, row: Row, replaces: dict[str, list[str]] | None = None) -> None:
         raise OSError("died before the commit")
 
 
@@ -628,3 +635,140 @@ def stream_load(spark: SparkSession, folder: str) -> DataFrame:
         records = ingest.landing_stream(spark, landing)
         ingest.start_ingest(house, records, checkpoint).awaitTermination()
     return plain(_readable(house))
+
+
+# Kept state
+
+
+# Facts of the last source that are from 1997 on come a load late.
+_LOADS = (
+    "CASE WHEN date_key >= 19980101 OR date_key >= 19970101 AND source_key = 3 THEN 3 "
+    "WHEN date_key >= 19970101 THEN 2 ELSE 1 END"
+)
+_LOAD_DAYS = (dt.date(1996, 12, 31), dt.date(1997, 12, 31), dt.date(1998, 12, 1))
+
+
+@_query
+def kept_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts stored in three loads; after each the state is brought up to date from that load
+    alone, and summary and screener are answered from the state."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    rows = staged(tables.facts(spark, folder).withColumn("part", F.expr(_LOADS)), "kept-facts")
+    assets, state, found = tables.assets(spark, folder), kept.MartState(house), []
+    for load, day in enumerate(_LOAD_DAYS, start=1):
+        write_facts(house, load, rows.where(f"part = {load}").drop("part"))
+        house.commit(Row(load=load, dims_load=0))
+        state.refresh(day)
+        facts_kept = state.facts(day)
+        summary = marts.portfolio_summary(facts_kept, assets, ordered=False)
+        screener = marts.week52_high_low(facts_kept, assets, day, ordered=False)
+        both = summary.join(screener.select("ticker", "high_52w", "low_52w", "pct_from_high", "pct_from_low"), "ticker")
+        found.append(staged(both.withColumn("load", F.lit(load)), "kept-answers"))
+    return plain(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+# Joins in time
+
+
+def _asof(spark: SparkSession, folder: str, **options: int) -> DataFrame:
+    quoted = tables.facts(spark, folder).selectExpr(
+        "asset_key", f"{key_date('date_key')} AS day", "date_key AS quote_date_key", "close_price AS quote", "-source_key AS rank"
+    )
+    columns = ("quote_date_key", "quote")
+    return plain(asof_join(tables.asked(spark, folder), quoted, "asset_key", "day", columns, ("rank",), **options))
+
+
+@_query
+def asof_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line with the newest quote of its part on the day it asks for or before."""
+    return _asof(spark, folder)
+
+
+@_query
+def asof_quotes_ranged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every part spread over ranges of time, as a hot one would be."""
+    return _asof(spark, folder, hot_rows=0)
+
+
+def _asset_history(spark: SparkSession, folder: str) -> DataFrame:
+    history = no_rows(spark, versions.VERSIONS)
+    for day, assets in tables.asset_states(spark, folder):
+        history = versions.with_batch(history, assets, day)
+    return staged(history, "asset-versions")
+
+
+@_query
+def asset_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All versions of the assets after three changes of the dimension."""
+    return plain(_asset_history(spark, folder))
+
+
+@_query
+def facts_at_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fact with the asset as it was on the fact's day."""
+    quoted = tables.facts(spark, folder).selectExpr(
+        *S.FACT_KEY, f"{key_date('date_key')} AS day", "close_price"
+    )
+    return plain(valid_at(quoted, _asset_history(spark, folder), "asset_key", "day").drop("exchange"))
+
+
+# Streams of ticks
+
+
+# The second step starts here; ticks of one kind come a step late.
+TICKS_FROM = dt.datetime(2024, 1, 15, 6, 30)
+LATE_TYPE = "error"
+
+
+def _landed_ticks(spark: SparkSession, folder: str, late: bool) -> list[DataFrame]:
+    rows = tables.ticks(spark, folder)
+    first = F.col("ts") < F.lit(TICKS_FROM).cast(S.STAMP)
+    if late:
+        first = first & (F.col("event_type") != LATE_TYPE)
+    return [rows.where(first), rows.where(~first)]
+
+
+@_query
+def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly bars of a stream in two steps, the second with late ticks: finished bars, open
+    ones, and late ticks by hour."""
+    landing, checkpoint = shared_dir(spark, "landing"), shared_dir(spark, "checkpoint")
+    store = bars.BarStore(spark, shared_dir(spark, "bars"))
+    for part in _landed_ticks(spark, folder, late=True):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(part.schema).parquet(landing)
+        bars.start_bars(stream, store, checkpoint).awaitTermination()
+    states = {"finished": store.finished(), "open": store.still_open(), "late": bars.partial_bars(store.late())}
+    told = [bars.prices(rows).withColumn("state", F.lit(state)) for state, rows in states.items()]
+    return plain(told[0].unionByName(told[1]).unionByName(told[2])).withColumnsRenamed({"start": "starts", "end": "ends"})
+
+
+@_query
+def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars put together from hourly ones."""
+    hourly = bars.partial_bars(tables.ticks(spark, folder))
+    return plain(bars.prices(bars.coarser(hourly))).withColumnsRenamed({"start": "starts", "end": "ends"})
+
+
+@_query
+def price_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every crossing of a threshold, in one batch."""
+    return _alerts(alerts.crossings(tables.ticks(spark, folder), tables.thresholds(spark, folder), idle_days=3))
+
+
+def _alerts(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("ticker", "double(threshold) AS threshold", "seq", "double(price) AS price", "direction")
+
+
+@_query
+def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream in two steps, restarted from its checkpoint in between."""
+    landing, checkpoint, path = (shared_dir(spark, name) for name in ("landing", "checkpoint", "alerts"))
+    wanted = tables.thresholds(spark, folder)
+    with alerts.state_store(spark):
+        for part in _landed_ticks(spark, folder, late=False):
+            part.write.mode("append").parquet(landing)
+            stream = spark.readStream.schema(part.schema).parquet(landing)
+            told = alerts.alert_stream(stream, wanted, idle_days=3)
+            alerts.start_alerts(told, path, checkpoint).awaitTermination()
+    return _alerts(spark.read.schema(alerts.ALERTS).parquet(path))

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotelake.sources import files
+
 # Set in the builder only; nothing below changes a session that somebody else made.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,6 +34,10 @@ def build_session(app: str = "quotelake", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+# Folders handed out inside the innermost ``consumed`` block of this thread.
+_made: ContextVar[list[tuple[str, str]] | None] = ContextVar("made", default=None)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for ``purpose`` that every executor can reach.
 
@@ -41,7 +50,29 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="quotelake-")
-    return f"{base.rstrip('/')}/quotelake/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/quotelake/{purpose}-{uuid.uuid4().hex[:12]}"
+    if (made := _made.get()) is not None:
+        made.append((purpose, path))
+    return path
+
+
+@contextmanager
+def consumed(spark: SparkSession, *keep: str) -> Iterator[None]:
+    """Deletes at its end the intermediate folders made inside it, but for the purposes in
+    ``keep``: so a step holds no more of the disk than its successor still reads. What leaves
+    the block must read kept folders only. A block around it takes over what was kept."""
+    outer = _made.get()
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        inner = _made.get()
+        _made.reset(token)
+        for purpose, path in inner:
+            if purpose not in keep:
+                files.delete(spark, path)
+            elif outer is not None:
+                outer.append((purpose, path))
 
 
 def staged(rows: DataFrame, purpose: str) -> DataFrame:

@@ -35,6 +35,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
+def newest(spark: SparkSession, folder: str, known: int = -1) -> int:
+    """The largest number of the files ``0000000000.json``, ``0000000001.json``, ... of a
+    folder, which have no gaps; -1 if there is none. ``known`` is one that is there. Probes
+    upwards in doubling steps, so the calls grow with the logarithm of what is new."""
+    if not exists(spark, numbered(folder, known + 1)):
+        return known
+    low, step = known + 1, 1
+    while exists(spark, numbered(folder, low + step)):
+        low, step = low + step, step * 2
+    high = low + step
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if exists(spark, numbered(folder, middle)) else (low, middle)
+    return low
+
+
+def numbered(folder: str, number: int) -> str:
+    return f"{folder}/{number:010d}.json"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder and all below it, if it is there."""
+    found, system = _path(spark, path)
+    system.delete(found, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    found, system = _path(spark, path)
+    return system.getContentSummary(found).getLength()
+
+
 def text(spark: SparkSession, path: str) -> str:
     found, system = _path(spark, path)
     stream = system.open(found)

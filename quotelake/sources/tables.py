@@ -215,7 +215,8 @@ def pair_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Events as pair payloads, one per user and month.
 
     The price of a day is its highest value and the volume its number of events, so a
-    payload has at most 31 pairs. The volume of the newest day is not out yet.
+    payload has at most 31 pairs. For every fourth user the volume of the newest day is not
+    out yet.
     """
     daily = (
         table(spark, folder, "events")
@@ -233,7 +234,7 @@ def pair_payloads(spark: SparkSession, folder: str) -> DataFrame:
     def pairs(points: str, name: str) -> str:
         return f"array_join(transform({points}, p -> concat('[', p.millis, ',', p.{name}, ']')), ',')"
 
-    known = "slice(points, 1, size(points) - 1)"
+    known = "IF(user_id % 4 = 0, slice(points, 1, size(points) - 1), points)"
     return monthly.selectExpr(
         "user_id * 1000000 + year(month) * 100 + month(month) AS payload_id",
         f"'{S.COINGECKO}' AS source",
@@ -251,3 +252,45 @@ def watchlist(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").selectExpr(
         f"{source} AS source", "concat('P', p_partkey) AS ticker", f"{source} <> 'R' AS enabled"
     )
+
+
+def asked(spark: SparkSession, folder: str) -> DataFrame:
+    """What every order line asks for: its part's quote so many days before it shipped as its
+    line number says."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "int(l_partkey) AS asset_key",
+        "date_sub(CAST(l_shipdate AS DATE), l_linenumber) AS day", "CAST(l_quantity AS DECIMAL(18,4)) AS quantity",
+    )
+
+
+def ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """One tick of the user's ticker per event."""
+    return table(spark, folder, "events").selectExpr(
+        "concat('U', user_id) AS ticker", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "event_id AS seq",
+        "CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,8)) AS price", "CAST(1 AS DECIMAL(18,4)) AS volume",
+        "event_type",
+    )
+
+
+def thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """A threshold for every user's ticker, and a second one for users with even ids."""
+    users = table(spark, folder, "events").select("user_id").distinct()
+    return users.selectExpr(
+        "concat('U', user_id) AS ticker", "explode(IF(user_id % 2 = 0, array(30, 100), array(30))) AS threshold"
+    ).selectExpr("ticker", "CAST(threshold AS DECIMAL(18,8)) AS threshold")
+
+
+# Days on which the asset dimension changed, and what became of it since.
+ASSET_CHANGES = (
+    (dt.date(1994, 6, 15), "asset_type", "IF(asset_key % 3 = 0, concat(asset_type, ' II'), asset_type)"),
+    (dt.date(1996, 3, 1), "name", "IF(asset_key % 2 = 0, upper(name), name)"),
+    (dt.date(1997, 1, 1), "is_active", "IF(asset_key % 6 = 0, NOT is_active, is_active)"),
+)
+
+
+def asset_states(spark: SparkSession, folder: str) -> list[tuple[dt.date, DataFrame]]:
+    """The asset dimension as it was first, and after each change."""
+    found = [(dt.date(1992, 1, 1), assets(spark, folder))]
+    for day, name, value in ASSET_CHANGES:
+        found.append((day, found[-1][1].withColumn(name, F.expr(value))))
+    return found

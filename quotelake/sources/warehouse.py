@@ -10,6 +10,7 @@ one gets the number and the other a ``CommitConflict``, with nothing lost or ove
 from __future__ import annotations
 
 import json
+import math
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -42,6 +43,8 @@ LOAD = T.StructField("load", T.IntegerType())
 FACTS = T.StructType([*S.FACT_QUOTES.fields, LOAD, YEAR])
 RECORD = (T.StructField("record_id", T.LongType()), T.StructField("source", T.StringType()))
 REASON = T.StructField("reason", T.StringType())
+# Compaction: bytes up to which all folders are alike, and how much larger each class above is.
+SMALL, GROWTH = 64 << 20, 8
 # Tables that grow by a folder per load; the dimensions are rewritten whole.
 GROWING = {
     "fact_quotes": FACTS,
@@ -68,6 +71,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.at = at
+        self._known = -1
         self._attempts: dict[int, str] = {}
         self._tables: dict[int, set[str]] = {}
 
@@ -99,29 +103,38 @@ class Warehouse:
         """What this handle wrote for a load, committed or not."""
         return self.spark.read.parquet(self.path(table, load))
 
-    def commit(self, row: Row, replaces: bool = False) -> None:
+    def commit(self, row: Row, replaces: dict[str, list[str]] | None = None) -> None:
         """Publishes what this handle wrote for the load, on top of the folders of the load
-        before it, or in place of them."""
+        before it; ``replaces`` names folders, by table, that the written ones stand for. With
+        each folder goes its size in bytes and the newest load whose rows it may hold."""
         values = row.asDict()
         load = values["load"]
         self.path("", load)
-        before = self._commit(load - 1) if load else {"folders": {}, "streams": {}}
+        before = self._commit(load - 1) if load else {"load": 0, "folders": {}, "sizes": {}, "streams": {}}
         attempt, wrote = self._attempts[load], self._tables.get(load, set())
         folders = {
-            name: ([] if replaces or name in DIMS and name in wrote else before["folders"].get(name, []))
+            name: [
+                folder for folder in before["folders"].get(name, [])
+                if not (name in DIMS and name in wrote) and folder not in (replaces or {}).get(name, ())
+            ]
             + ([attempt] if name in wrote else [])
             for name in (*DIMS, *GROWING)
         }
+        known, kept = before["sizes"], {f"{name}/{folder}" for name, held in folders.items() for folder in held}
+        sizes = {folder: held for folder, held in known.items() if folder in kept}
+        for name in wrote:
+            replaced = [known[f"{name}/{folder}"][1] for folder in (replaces or {}).get(name, ())]
+            sizes[f"{name}/{attempt}"] = [files.size(self.spark, self.path(name, load)), max(replaced, default=load)]
         streams = dict(before["streams"])
         if values.get("stream_id") is not None:
             streams[values["stream_id"]] = values["batch_id"]
         content = {name: values.get(name) for name in COMMITS.fieldNames()}
-        text = json.dumps({**content, "folders": folders, "streams": streams})
+        text = json.dumps({**content, "folders": folders, "sizes": sizes, "streams": streams})
         if not files.create(self.spark, self._commit_path(load), text):
             raise CommitConflict(f"load {load} of {self.root} is committed already")
 
     def _commit_path(self, load: int) -> str:
-        return f"{self.root}/commits/{load:010d}.json"
+        return files.numbered(f"{self.root}/commits", load)
 
     def _commit(self, load: int) -> dict:
         return json.loads(files.text(self.spark, self._commit_path(load)))
@@ -131,11 +144,11 @@ class Warehouse:
 
     @property
     def last(self) -> dict:
-        """The commit this handle reads, looked up on every use."""
+        """The commit this handle reads, looked up on every use from the newest one it has seen."""
         if self.at is not None:
             return self._commit(self.at)
-        names = files.names(self.spark, f"{self.root}/commits", "*.json")
-        return self._commit(int(max(names).removesuffix(".json")))
+        self._known = files.newest(self.spark, f"{self.root}/commits", self._known)
+        return self._commit(self._known)
 
     def _read(self, table: str, schema: T.StructType, commit: dict | None = None) -> DataFrame:
         folders = (commit or self.last)["folders"][table]
@@ -157,8 +170,8 @@ class Warehouse:
         ``after_load``, the facts that later loads added, of old assets as of new ones."""
         commit = self.last
         if after_load is not None:
-            added = [name for name in commit["folders"]["fact_quotes"] if int(name.split("-")[0]) > after_load]
-            commit = {"folders": {"fact_quotes": added}}
+            newest = {name: commit["sizes"][f"fact_quotes/{name}"][1] for name in commit["folders"]["fact_quotes"]}
+            commit = {"folders": {"fact_quotes": [name for name in newest if newest[name] > after_load]}}
         facts = self._read("fact_quotes", FACTS, commit)
         if after_load is not None:
             # A compacted folder holds older loads as well.
@@ -182,26 +195,39 @@ class Warehouse:
         return max(len(folders) for folders in self.last["folders"].values())
 
 
-def compact(house: Warehouse) -> int:
-    """Rewrites every growing table into one folder, as a load without records.
+def _alike(commit: dict, table: str, least: int) -> list[str]:
+    """The folders of a table that are to become one: those of the smallest class of sizes
+    (each class up to ``GROWTH`` times the one below) that has ``least`` of them."""
+    classes: dict[int, list[str]] = {}
+    for folder in commit["folders"][table]:
+        size = commit["sizes"][f"{table}/{folder}"][0]
+        classes.setdefault(int(math.log(max(size, SMALL) / SMALL, GROWTH)), []).append(folder)
+    return next((classes[c] for c in sorted(classes) if len(classes[c]) >= least), [])
 
-    Facts keep the number of the load that added them. The replaced folders stay, so a
-    reader pinned to an older commit is still served.
+
+def compact(house: Warehouse, least: int = 2) -> int | None:
+    """Rewrites folders of similar size into one, as a load without records; None if no table
+    has ``least`` such folders.
+
+    A fact is rewritten only together with folders of its own size, so about once per factor
+    of ``GROWTH`` in the size of the history, and a large folder is left alone until there are
+    others like it. Facts keep the number of the load that added them. The replaced folders
+    stay, so a reader pinned to an older commit is still served.
     """
     base = house.pinned()
     commit = base.last
     load = commit["load"] + 1
-    for name, schema in GROWING.items():
-        if not commit["folders"][name]:
-            continue
-        rows = base._read(name, schema, commit)
+    chosen = {name: _alike(commit, name, least) for name in GROWING}
+    chosen = {name: folders for name, folders in chosen.items() if folders}
+    if not chosen:
+        return None
+    for name, folders in chosen.items():
+        rows = base._read(name, GROWING[name], {"folders": {name: folders}})
         if name == "fact_quotes":
             _store_facts(base, load, rows)
         else:
             base.write(name, load, rows.coalesce(1) if name == "dim_dates" else rows)
-    for name in DIMS:
-        base.write(name, load, base._read(name, DIMS[name], commit))
-    base.commit(Row(load=load, dims_load=commit["dims_load"]), replaces=True)
+    base.commit(Row(load=load, dims_load=commit["dims_load"]), replaces=chosen)
     return load
 
 

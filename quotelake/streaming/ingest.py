@@ -47,7 +47,7 @@ def start_ingest(
         if house.last["streams"].get(stream_id, -1) < batch_id:
             load_records(house, batch, stream_id=stream_id, batch_id=batch_id)
             if house.folder_count() > MAX_FOLDERS:
-                compact(house)
+                compact(house, least=8)
 
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if every_minutes is None:
