@@ -3,9 +3,10 @@
 The sort key is the hash of the text, then ``doc_id``: copies of a text lie side by side.
 Splitters are found by counting bytes below candidate boundaries (``cuts``), refined until
 each meets the tolerance, and then the rows are exchanged once, by the finer bucket between
-two splitters. Copies stay in one shard unless they outweigh a shard's even share: a lighter
-run of equal texts is not parted, its shard ends at the nearer end of the run and then misses
-the tolerance by up to half the run at either end. Within a shard buckets may part a run.
+two splitters. A run of equal texts of up to ``WHOLE`` of a shard's even share stays in one
+shard, which then ends at the nearer end of the run and misses the tolerance by up to half the
+run at either end; a heavier run is parted where the splitter falls. Within a shard buckets may
+part a run.
 
 Slots number a shard's rows in key order. Buckets are many to a shard and are ordered one by
 one, so no task sorts a shard.
@@ -31,6 +32,7 @@ SHARDS = 24
 ROW_BYTES = 8
 # Of a shard's even share.
 TOLERANCE = 0.005
+WHOLE = 0.05
 ROWS_PER_BUCKET = 1_000_000
 BUCKETS_PER_SHARD = (8, 170)
 _KEYS = ["text_key", "id_key"]
@@ -56,7 +58,7 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
     rows = rows.withColumn("all", F.lit(0).cast("bigint"))
     slack = {0: total / shards * tolerance}
     targets = [total * k // shards for k in range(1, shards)]
-    outer = cuts(rows, "all", _KEYS, "size", {0: targets}, slack, whole=total / shards)[0]
+    outer = cuts(rows, "all", _KEYS, "size", {0: targets}, slack, whole=WHOLE * total / shards)[0]
     # The nearest boundaries of two wanted weights can lie in either order only if they are equal.
     ends = [Cut(0, 0), *sorted(outer), Cut(1 << 128, total)]
     targets = [

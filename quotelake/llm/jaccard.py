@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from quotelake.llm.common import map_arrow, slices
 from quotelake.llm.components import components
 from quotelake.operators.bounded import broadcast_if, fits
-from quotelake.session import shared_dir, staged
+from quotelake.session import consumed, shared_dir, staged
 
 WORDS = 5
 PERCENT = 80
@@ -299,18 +299,8 @@ def _near_one_hub(first: DataFrame, labels: DataFrame, percent: int) -> DataFram
     return met.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
-def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (smallest linked ``doc_id``) of every row."""
-    folder = shared_dir(documents.sparkSession, "jaccard-sets")
-    _sets(documents, words, percent).write.option("compression", "zstd").parquet(folder)
-    stored = documents.sparkSession.read.schema(
-        "doc_id bigint, n bigint, s1 bigint, s2 bigint, zone array<bigint>"
-    ).parquet(folder)
-    narrow = stored.select("doc_id", "n", "s1", "s2")
-    held = stored.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(
-        held.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.first("zone").alias("zone")), "jaccard-classes"
-    )
+def _tokens(documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node``, ``n``, ``e`` and ``t`` for every shingle of every prefix."""
     # Exact counts, combined map-side; only shingles that count in an estimate are kept.
     counts = classes.select(F.explode("zone").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     frequent = staged(counts.where(f"df >= {COUNTED}"), "jaccard-frequent")
@@ -320,13 +310,45 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     longer = staged(longer, "jaccard-whole")
     lengthened = _prefixes(longer, frequent, percent, whole=True)
     prefixes = chosen.where("prefix IS NOT NULL").unionByName(lengthened)
-    tokens = staged(prefixes.select("node", "n", "e", F.explode("prefix").alias("t")), "jaccard-tokens")
+    return staged(prefixes.select("node", "n", "e", F.explode("prefix").alias("t")), "jaccard-tokens")
+
+
+def _posts(tokens: DataFrame) -> DataFrame:
+    """The tokens that several classes hold, with the number of holders and the smallest one."""
     hub = F.min(F.struct("node", "n", "e")).alias("hub")
     holders = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("df"), hub).where("df > 1")
     posts = tokens.join(holders, "t").selectExpr(
         "t", "node", "n", "e", "df", "hub.node AS hub", "hub.n AS hub_n", "hub.e AS hub_e"
     )
-    posts = staged(posts, "jaccard-posts")
+    return staged(posts, "jaccard-posts")
+
+
+def _narrow_and_posts(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows by their sets, the sets' classes, and the posts."""
+    folder = shared_dir(documents.sparkSession, "jaccard-sets")
+    _sets(documents, words, percent).write.option("compression", "zstd").parquet(folder)
+    stored = documents.sparkSession.read.schema(
+        "doc_id bigint, n bigint, s1 bigint, s2 bigint, zone array<bigint>"
+    ).parquet(folder)
+    narrow = staged(stored.select("doc_id", "n", "s1", "s2"), "jaccard-narrow")
+    held = stored.where("n > 0 AND doc_id IS NOT NULL")
+    classes = staged(
+        held.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.first("zone").alias("zone")), "jaccard-classes"
+    )
+    names = staged(classes.drop("zone"), "jaccard-names")
+    return narrow, names, _posts(_tokens(documents, classes, words, percent))
+
+
+def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (smallest linked ``doc_id``) of every row."""
+    with consumed(documents.sparkSession, "jaccard-narrow", "jaccard-labels"):
+        return _components(documents, words, percent)
+
+
+def _components(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    # Zones and tokens, many times the size of what follows, are not kept beyond the posts.
+    with consumed(documents.sparkSession, "jaccard-narrow", "jaccard-names", "jaccard-posts"):
+        narrow, names, posts = _narrow_and_posts(documents, words, percent)
     crowded = posts.where(f"df > {FEW}").select(F.col("node").alias("a")).distinct().withColumn("wanted", F.lit(True))
     pairs = _first_pairs(posts, percent).join(crowded, "a", "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
     first = staged(_compared(documents, pairs, words, percent), "jaccard-first")
@@ -335,7 +357,8 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     later = _verified(documents, _later_pairs(posts, first, labels, percent), words, percent)
     links = links.unionByName(later)
     # A row of another set under a node's id belongs to the node as well.
-    alias = held.select("doc_id", "n", "s1", "s2").join(classes.drop("zone"), ["n", "s1", "s2"])
+    held = narrow.where("n > 0 AND doc_id IS NOT NULL")
+    alias = held.join(names, ["n", "s1", "s2"])
     alias = alias.where("doc_id <> node").selectExpr("doc_id AS u", "node AS v")
     labels = staged(components(links.unionByName(alias)), "jaccard-labels")
     named = narrow.withColumnRenamed("n", "n_shingles").join(labels, narrow["doc_id"] == labels["node"], "left")

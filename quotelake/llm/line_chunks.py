@@ -26,7 +26,7 @@ table gives no rows. Columns of the documents stay as they are, whatever their n
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm import passages
 from quotelake.llm.common import map_arrow, slices
-from quotelake.session import shared_dir, staged
+from quotelake.session import consumed, shared_dir, staged
 
 LONG_LINE = 25
 WINDOW = 2
@@ -187,18 +187,48 @@ def _resolved(marked: DataFrame, mixed: DataFrame) -> DataFrame:
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """The documents with repeated chunks removed from ``text``; rows, other columns and their
-    order stay. ``removed`` (array of struct start, end in bytes) is added last."""
-    return _without_repeats(documents, _marks(documents).withColumn("runs", F.expr(f"cast(NULL AS {_RUNS})")))
+    order stay. ``removed`` (array of struct start, end in bytes) is added last, in place of a
+    column of that name."""
+    return _named(documents, _without_repeats(documents, _chunk_marks))
 
 
 def dedup_passages(documents: DataFrame) -> DataFrame:
     """As ``dedup_lines``, and without the passages that occur again; overlapping parts are one
     in ``removed``."""
+    return _named(documents, cut_passages(documents))
+
+
+def cut_passages(documents: DataFrame) -> DataFrame:
+    """Per row ``row`` (a struct of its columns, as they were), ``kept_text`` and ``removed``,
+    whatever the columns' names."""
+    return _without_repeats(documents, _both_marks)
+
+
+def _named(documents: DataFrame, cut: DataFrame) -> DataFrame:
+    fields = [
+        F.col("kept_text").alias("text") if name == "text" else F.col("row").getField(name).alias(name)
+        for name in documents.columns if name != "removed"
+    ]
+    return cut.select(*fields, "removed")
+
+
+def _chunk_marks(documents: DataFrame) -> DataFrame:
+    return _marks(documents).withColumn("runs", F.expr(f"cast(NULL AS {_RUNS})"))
+
+
+def _both_marks(documents: DataFrame) -> DataFrame:
     runs = passages.runs(_key(documents.select("doc_id", "text")))
-    return _without_repeats(documents, _marks(documents).join(runs, ["k_id", "k_text"], "full"))
+    return _marks(documents).join(runs, ["k_id", "k_text"], "full")
+
+
+def _without_repeats(documents: DataFrame, mark: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    with consumed(documents.sparkSession, "chunk-marked"):
+        marked = _marked(documents, mark(documents))
+    return _cut_out(documents, marked)
 
 
-def _without_repeats(documents: DataFrame, marks: DataFrame) -> DataFrame:
+def _marked(documents: DataFrame, marks: DataFrame) -> DataFrame:
+    """Every row as a struct, with what is marked in it, stored."""
     spark = documents.sparkSession
     names = documents.columns
     packed = documents.select(F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"), "doc_id", "text")
@@ -206,13 +236,18 @@ def _without_repeats(documents: DataFrame, marks: DataFrame) -> DataFrame:
     marked = keyed.join(marks, ["k_id", "k_text"], "left").select("row", "k_id", "k_text", "marks", "runs")
     folder = shared_dir(spark, "chunk-marked")
     marked.write.option("compression", "zstd").parquet(folder)
-    marked = spark.read.schema(marked.schema).parquet(folder)
+    return spark.read.schema(marked.schema).parquet(folder)
+
+
+def _cut_out(documents: DataFrame, marked: DataFrame) -> DataFrame:
+    row_type = marked.schema["row"].dataType.simpleString()
     marked = marked.withColumn("text", F.expr("CASE WHEN marks IS NOT NULL OR runs IS NOT NULL THEN row.text END"))
     mixed = staged(_mixed_hashes(marked), "chunk-mixed")
     if mixed.head(1):
         marked = _resolved(marked, mixed)
     checks = F.expr("coalesce(exists(runs, r -> r.check), false)")
-    later = staged(passages.later_windows(marked), "chunk-later-windows")
+    with consumed(documents.sparkSession, "chunk-later-windows"):
+        later = staged(passages.later_windows(marked), "chunk-later-windows")
     marked = marked.where(~checks).withColumn("later", F.expr("cast(NULL AS array<int>)")).unionByName(
         marked.where(checks).join(later, ["k_id", "k_text"], "left")
     )
@@ -249,11 +284,6 @@ def _without_repeats(documents: DataFrame, marks: DataFrame) -> DataFrame:
                 [batch.column("row"), pa.array(texts, pa.string()), pa.array(spans, kind)], ["row", "kept_text", "removed"]
             )
 
-    row_type = packed.schema["row"].dataType.simpleString()
     schema = f"row {row_type}, kept_text string, removed array<struct<start:bigint,end:bigint>>"
     out = map_arrow(marked.select("row", "text", "marks", "runs", "later"), remove, schema)
-    fields = [
-        F.coalesce(F.col("kept_text"), F.col("row.text")).alias("text") if name == "text" else F.col("row").getField(name).alias(name)
-        for name in names
-    ]
-    return out.select(*fields, F.col("removed"))
+    return out.withColumn("kept_text", F.coalesce("kept_text", "row.text"))

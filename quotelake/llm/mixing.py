@@ -6,7 +6,9 @@ random number u and inclusion odds (those of the share, times its own weight), a
 documents are ranked by odds of u divided by inclusion odds, lowest first. The sample is the
 run of lowest ranks whose words stay within the rest, so its size is fixed in words, while
 documents of greater weight are drawn more often; what the next document would exceed is
-filled by the following ones that fit. The threshold of a source is found by exact counts
+filled by runs of the following ones that fit, until none fits. If one more document, smaller
+than twice what is left then, comes nearer to the target, the one that comes nearest is drawn
+as well. The threshold of a source is found by exact counts
 over all partitions (``cuts``); no source is sorted or gathered.
 
 The random number is a hash of seed, ``doc_id`` and text: reruns agree whatever the
@@ -34,8 +36,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SEED = 20240601
-# Runs of ranks: the first takes nearly all, the next ones what still fits.
-ROUNDS = 3
 MOST_BROADCAST = 100_000
 # Ranks are held as whole numbers of this many steps.
 _STEPS = 1 << 52
@@ -106,9 +106,12 @@ def mix(
     ranked = joined.selectExpr("*", f"bigint({quotient} / (1D + {quotient}) * {_STEPS}D) AS rank")
     ranked = staged(ranked.withColumn("drawn", F.lit(False)), "mix-ranked")
     rest = {number: left for _, number, _, _, _, left in plan if left > 0}
-    for _ in range(ROUNDS):
-        ranked, rest = _drawn(ranked, rest)
-    return ranked.withColumn("copies", F.expr("whole + int(drawn)")).select(
+    while True:
+        ranked, left = _drawn(ranked, rest)
+        if left == rest:
+            break
+        rest = left
+    return _topped_up(ranked, rest).withColumn("copies", F.expr("whole + int(drawn)")).select(
         "doc_id", "source", "size", "text_key", "source_size", "target", "copies"
     )
 
@@ -136,13 +139,32 @@ def _drawn(ranked: DataFrame, rest: dict[int, int]) -> tuple[DataFrame, dict[int
     return staged(after, "mix-drawn"), {number: words for number, words in still.items() if words > 0}
 
 
+def _topped_up(ranked: DataFrame, rest: dict[int, int]) -> DataFrame:
+    """Draws from each source the document over what is left that comes nearest to it, if that
+    is nearer than stopping short. Rows of one rank count together."""
+    if not rest:
+        return ranked
+    left = ranked.sparkSession.createDataFrame(list(rest.items()), "number bigint, left bigint")
+    left = F.broadcast(left) if len(rest) <= MOST_BROADCAST else left
+    able = ranked.join(left, "number").where("NOT drawn AND size > 0 AND size < 2 * left")
+    together = able.groupBy("number", "rank", "left").agg(F.sum("size").alias("words")).where("words < 2 * left")
+    nearest = together.groupBy("number").agg(F.expr("min(struct(abs(words - left) AS off, rank))").alias("best"))
+    # One row per source at most.
+    nearest = staged(nearest.selectExpr("number", "best.rank AS extra"), "mix-extra")
+    nearest = F.broadcast(nearest) if len(rest) <= MOST_BROADCAST else nearest
+    drawn = "drawn OR coalesce(rank = extra AND size > 0, false)"
+    return ranked.join(nearest, "number", "left").withColumn("drawn", F.expr(drawn)).drop("extra")
+
+
 def repeated(documents: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix itself: every document as often as it is taken, in its own columns."""
-    counted = mixed.where("copies > 0").select("doc_id", "text_key", "copies").distinct()
-    keyed = documents.withColumn("__key", F.xxhash64("text")).alias("d")
-    joined = keyed.join(
-        counted.alias("m"),
-        F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("m.doc_id")) & (F.col("d.__key") == F.col("m.text_key")),
+    counted = mixed.where("copies > 0").selectExpr(
+        "doc_id AS m_id", "source AS m_source", "text_key AS m_key", "copies"
+    ).distinct()
+    held = documents.select(
+        F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("held"),
+        F.col("doc_id").cast("bigint").alias("d_id"), F.col("source").cast("string").alias("d_source"),
+        F.xxhash64("text").alias("d_key"),
     )
-    taken = joined.select("d.*", F.explode(F.sequence(F.lit(1), F.col("m.copies"))).alias("__copy"))
-    return taken.drop("__key", "__copy")
+    same = F.expr("d_id <=> m_id AND d_source <=> m_source AND d_key = m_key")
+    return held.join(counted, same).select("held", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("held.*")

@@ -15,8 +15,9 @@ whole numbers of 1/``UNIT``, so sums are exact and the estimate does not depend
 of rows. The nearest share is found in steps of distance (``BINS_PER_E`` to a factor e):
 sums are kept per distance step, a bounded number per group, and no group is gathered.
 
-Sources of a language with fewer than ``LEAST`` documents are estimated together; if those
-are too few as well, the base rules alone decide.
+Every document that passes the base rules meets an estimate: that of its language and source
+if these have ``LEAST`` such documents, else that of its whole language, else that of all
+documents. A document is part of every estimate that its language and source lead to.
 
 Nulls and edges: a null text has no words and fails; null languages and sources are groups
 of their own; equal rows get equal verdicts; windows are compared by 64-bit hashes. An empty
@@ -132,15 +133,22 @@ def base_rules(rows: DataFrame) -> DataFrame:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Adds ``g``: language and source, or the language's small sources together."""
+    """Adds ``g``, the group whose estimate judges a row: language and source, the language, or
+    all; and ``parts``, the groups whose estimates the row is part of."""
     lang, source = "coalesce(concat('=', lang), '')", "coalesce(concat('=', source), '')"
-    counts = rows.where("NOT base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("lang", "source").agg(F.expr("count_if(NOT base_failed)").alias("n"))
+    # One row per language and source.
+    counts = staged(counts.withColumn("in_lang", F.expr("sum(n) OVER (PARTITION BY lang)")), "mcd-counts")
     named = counts.selectExpr(
         "lang AS l", "source AS s",
-        f"CASE WHEN n >= {LEAST} THEN concat({lang}, '\\u0001', {source}) ELSE {lang} END AS g",
-    )
+        f"concat({lang}, '\\u0001', {source}) AS own_g", f"concat({lang}, '\\u0002') AS lang_g",
+        f"CASE WHEN n >= {LEAST} THEN 1 WHEN in_lang >= {LEAST} THEN 2 ELSE 3 END AS level",
+    ).selectExpr("*", "CASE level WHEN 1 THEN own_g WHEN 2 THEN lang_g ELSE '' END AS g")
+    in_all = str(not named.where("level = 3").isEmpty()).lower()
+    named = named.selectExpr("*", "max(level = 2) OVER (PARTITION BY l) AS in_language", f"{in_all} AS in_all")
+    parts = "filter(array(IF(level = 1, own_g, NULL), IF(in_language, lang_g, NULL), IF(in_all, '', NULL)), x -> x IS NOT NULL)"
+    named = staged(named.selectExpr("l", "s", "g", f"{parts} AS parts"), "mcd-groups")
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
-    named = staged(named, "mcd-groups")
     return rows.join(broadcast_if(fits(named, MOST_GROUPS), named), same, "left").drop("l", "s")
 
 
@@ -227,9 +235,7 @@ def judged(documents: DataFrame) -> DataFrame:
     features = [f"bigint(round({formula} * {UNIT})) AS {name}" for name, (formula, _) in FEATURES.items()]
     rows = staged(base_rules(statistics(documents)).selectExpr("*", *features), "mcd-statistics")
     rows = _grouped(rows)
-    sound = rows.where("NOT base_failed").select("g", *_NAMES)
-    enough = sound.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {LEAST}").select("g")
-    sound = staged(_joined(sound, staged(enough, "mcd-enough")), "mcd-rows")
+    sound = staged(rows.where("NOT base_failed").select(F.explode("parts").alias("g"), *_NAMES), "mcd-rows")
     measured = _distance(_joined(rows, estimates(sound), "left"))
     return measured.selectExpr(
         "doc_id", "lang", "source", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -241,7 +247,9 @@ def judged(documents: DataFrame) -> DataFrame:
 def good_documents(documents: DataFrame) -> DataFrame:
     """The documents that are kept, in their own columns and number."""
     bad = staged(judged(documents).where("NOT kept").select("doc_id", "row_key").distinct(), "mcd-rejected")
-    bad = bad.selectExpr("doc_id AS bad_id", "row_key AS bad_key")
-    keyed = documents.withColumn("__row_key", row_key())
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("bad_id")) & (F.col("__row_key") == F.col("bad_key"))
-    return keyed.join(broadcast_if(fits(bad), bad), same, "left_anti").drop("__row_key")
+    held = documents.select(
+        F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("held"),
+        F.col("doc_id").cast("bigint").alias("held_id"), row_key().alias("held_key"),
+    )
+    same = F.expr("held_id <=> doc_id AND held_key = row_key")
+    return held.join(broadcast_if(fits(bad), bad), same, "left_anti").select("held.*")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import map_arrow, slices
-from quotelake.session import staged
+from quotelake.session import consumed, staged
 
 RUN = 50
 GRAM = 20
@@ -188,13 +188,8 @@ def _stretches(keyed: DataFrame) -> DataFrame:
 def runs(keyed: DataFrame) -> DataFrame:
     """Of rows with ``k_id``, ``k_text`` and ``text``, per document an array of its stretches
     that go whole, or whose windows must be read (``check``)."""
-    found = staged(_stretches(keyed), "passage-stretches")
-    # Copies meet map-side, so a common anchor leaves each task once.
-    anchors = found.groupBy("a").agg(
-        F.count("*").alias("c"), F.min("h1").alias("low"), F.max("h1").alias("high"),
-        F.min("h2").alias("low2"), F.max("h2").alias("high2"), F.max("again").alias("loops"),
-    ).where("c > 1 OR loops").selectExpr("a", "loops OR low <> high OR low2 <> high2 AS varied")
-    hits = staged(found.join(staged(anchors, "passage-anchors"), "a"), "passage-hits")
+    with consumed(keyed.sparkSession, "passage-hits"):
+        hits = _hits(keyed)
     place = F.struct("k_id", "k_text", "at")
     firsts = hits.groupBy("a", "h1", "h2").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.max("varied").alias("varied")
@@ -205,6 +200,17 @@ def runs(keyed: DataFrame) -> DataFrame:
     return marked.groupBy("k_id", "k_text").agg(F.collect_set(F.struct("at", "n", "check")).alias("runs"))
 
 
+def _hits(keyed: DataFrame) -> DataFrame:
+    """The stretches whose anchor occurs again."""
+    found = staged(_stretches(keyed), "passage-stretches")
+    # Copies meet map-side, so a common anchor leaves each task once.
+    anchors = found.groupBy("a").agg(
+        F.count("*").alias("c"), F.min("h1").alias("low"), F.max("h1").alias("high"),
+        F.min("h2").alias("low2"), F.max("h2").alias("high2"), F.max("again").alias("loops"),
+    ).where("c > 1 OR loops").selectExpr("a", "loops OR low <> high OR low2 <> high2 AS varied")
+    return staged(found.join(staged(anchors, "passage-anchors"), "a"), "passage-hits")
+
+
 def later_windows(rows: DataFrame) -> DataFrame:
     """Of rows with ``k_id``, ``k_text``, ``text`` and ``runs``, per document an array of the
     windows, in the stretches to check, that stand earlier in another such stretch."""

@@ -147,16 +147,17 @@ def keep_good(spark: SparkSession, documents: DataFrame, folder: str) -> DataFra
 
 def drop_repeated_chunks(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
     """Texts without their repeated chunks and passages; a document that had words and keeps none goes."""
-    names = documents.columns
-    rows = line_chunks.dedup_passages(documents).where(
-        r"size(removed) = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'"
+    rows = line_chunks.cut_passages(documents).where(
+        r"size(removed) = 0 OR kept_text RLIKE '[^\\x20\\x09-\\x0D]'"
     )
-    if "n_chars" in names:
-        rows = rows.withColumn(
-            "n_chars", F.expr("CASE WHEN size(removed) > 0 THEN length(text) ELSE n_chars END").cast(
-                documents.schema["n_chars"].dataType)
+    anew = {"text": "kept_text", "n_chars": "CASE WHEN size(removed) > 0 THEN length(kept_text) ELSE row.n_chars END"}
+    return rows.select(
+        *(
+            F.expr(anew[field.name]).cast(field.dataType).alias(field.name) if field.name in anew
+            else F.col("row").getField(field.name).alias(field.name)
+            for field in documents.schema
         )
-    return rows.select(*(F.col(f"`{name}`") for name in names))
+    )
 
 
 def one_of_each_group(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:

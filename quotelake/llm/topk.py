@@ -57,8 +57,8 @@ def whole_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
         "vec_id IS NOT NULL AND e IS NOT NULL AND NOT exists(e, x -> x IS NULL OR isnan(x) "
         "OR x = cast('Infinity' AS double) OR x = cast('-Infinity' AS double))"
     )
-    rows = rows.where(sound).selectExpr("vec_id", f"transform(e, x -> int(floor({scale} * double(x)))) AS v")
-    return rows.withColumn("norm2", F.expr("aggregate(v, 0L, (a, x) -> a + bigint(x) * x)"))
+    rows = rows.where(sound).selectExpr("vec_id", f"transform(e, x -> bigint(floor({scale} * double(x)))) AS v")
+    return rows.withColumn("norm2", F.expr("aggregate(v, 0D, (a, x) -> a + double(x) * double(x))"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -66,8 +66,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     lengths = np.asarray(column.value_lengths())
     values = column.flatten().to_numpy(zero_copy_only=False)
     if len(lengths) and (lengths == width).all():
-        return values.reshape(-1, width).astype(np.int32)
-    rows = np.zeros((len(lengths), width), dtype=np.int32)
+        return values.reshape(-1, width).astype(np.int64)
+    rows = np.zeros((len(lengths), width), dtype=np.int64)
     rows[np.arange(width) < lengths[:, None]] = values
     return rows
 
@@ -103,7 +103,7 @@ def _blocks(rows: DataFrame, width: int, size: int, role: int) -> DataFrame:
             longest = float(np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=1).max()))
             columns = [pa.array([(part << 24) + number]), pa.array([role], pa.int32()),
                        pa.array([np.concatenate(ids).astype("<i8").tobytes()], pa.binary()),
-                       pa.array([matrix.astype("<i4").tobytes()], pa.binary()),
+                       pa.array([matrix.astype("<i8").tobytes()], pa.binary()),
                        pa.array([len(matrix)], pa.int32()), pa.array([longest])]
             return pa.RecordBatch.from_arrays(columns, ["block", "role", "ids", "vectors", "n", "longest"])
 
@@ -125,6 +125,15 @@ def _blocks(rows: DataFrame, width: int, size: int, role: int) -> DataFrame:
     return map_arrow(rows.select("vec_id", "v"), gather, _BLOCKS)
 
 
+def _scores(rows: np.ndarray, query: np.ndarray, largest: float) -> np.ndarray:
+    """Exact inner products, none of which exceeds ``largest``. One that does not fit 64 bits
+    is the nearest number that does."""
+    if largest < 2.0**62:
+        return rows @ query
+    exact = rows.astype(object) @ query.astype(object)
+    return np.array([min(max(score, -(1 << 63)), (1 << 63) - 1) for score in exact], dtype=np.int64)
+
+
 def best_of(
     queries: tuple[np.ndarray, np.ndarray], candidates: tuple[np.ndarray, np.ndarray], rotation: np.ndarray, k: int,
     least: np.ndarray, leading: int = LEADING,
@@ -137,7 +146,6 @@ def best_of(
     q_rest = np.sqrt(np.maximum(q_length**2 - (q_turned[:, :leading] ** 2).sum(1), 0))
     c_rest = np.sqrt(np.maximum(c_length**2 - (c_turned[:, :leading] ** 2).sum(1), 0))
     partial = q_turned[:, :leading] @ c_turned[:, :leading].T
-    wide = c.astype(np.int64)
     for row in range(len(q_ids)):
         allowance = 1e-6 * (1 + q_length[row] * c_length)
         reach = partial[row] + q_rest[row] * c_rest + allowance
@@ -149,9 +157,9 @@ def best_of(
         if len(at) > 8 * k:
             # The likeliest candidates first; their k-th score prunes the others.
             first = at[np.argpartition(-reach[at], 4 * k)[: 4 * k]]
-            floor = np.sort(wide[first] @ q[row].astype(np.int64))[-k]
+            floor = np.sort(_scores(c[first], q[row], q_length[row] * c_length[first].max()))[-k]
             at = at[reach[at] >= max(floor, least[row])]
-        scores = wide[at] @ q[row].astype(np.int64)
+        scores = _scores(c[at], q[row], q_length[row] * c_length[at].max(initial=0))
         order = np.lexsort((c_ids[at], -scores))[:k]
         order = order[scores[order] >= least[row]]
         yield int(q_ids[row]), c_ids[at][order], scores[order]
@@ -166,10 +174,10 @@ def _search(pairs: DataFrame, rotation: np.ndarray, width: int, k: int) -> DataF
             for row in range(batch.num_rows):
                 held = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
                 q_ids = np.frombuffer(held["q_ids"], "<i8")
-                q = np.frombuffer(held["q_vectors"], "<i4").reshape(-1, width)
+                q = np.frombuffer(held["q_vectors"], "<i8").reshape(-1, width)
                 least = np.frombuffer(held["least"], "<f8") if held["least"] else np.full(len(q_ids), -np.inf)
                 ids = np.frombuffer(held["ids"], "<i8")
-                vectors = np.frombuffer(held["vectors"], "<i4").reshape(-1, width)
+                vectors = np.frombuffer(held["vectors"], "<i8").reshape(-1, width)
                 # Queries that the block's longest vector cannot serve are passed over.
                 lengths = np.sqrt((q.astype(np.float64) ** 2).sum(1))
                 may = lengths * held["longest"] * (1 + 1e-9) + 1e-6 >= least
