@@ -73,7 +73,10 @@ def op5_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return patience.license_scan(table(spark, folder, "documents"))
+    """Per document the fullest license, and the names of all in order of place."""
+    return patience.license_scan(table(spark, folder, "documents")).selectExpr(
+        "doc_id", "license", "coverage", "n_matched", "first_word", "last_word", "licenses.license AS licenses"
+    )
 
 
 @_query

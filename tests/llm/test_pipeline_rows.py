@@ -15,7 +15,7 @@ import xxhash
 from test_operators import WORD, ids_of, linked, mcd
 
 import corpus_pipeline
-from quotelake.llm import line_chunks, mixing, outliers, packing, passages
+from quotelake.llm import jaccard, line_chunks, mixing, outliers, packing, passages
 from quotelake.llm.tokens import Encoder, default_path
 from quotelake.session import staged
 
@@ -42,7 +42,10 @@ def made():
             text = text.replace(".", " ### $$$ %%%")
         if k % 8 == 4:
             # One line, too short for a passage and no two units: left to the Jaccard join.
-            text = single[k % 3] if k % 24 else single[k % 3] + " " + word()
+            text = single[k % 3]
+            if k % 24 == 12:
+                # Linked by five words and 80 %, not by three words and 90 %.
+                text = " ".join([*text.split()[:-3], word(), *text.split()[-2:]])
         if k % 40 == 5:
             text = texts[k - 5]
         texts.append(text)
@@ -119,7 +122,7 @@ def without_repeats(rows):
 
 
 def one_of_each(rows):
-    groups = {key: group for key, _, group in linked(rows, 3, 90)}
+    groups = {key: group for key, _, group in linked(rows, jaccard.WORDS, jaccard.PERCENT)}
     return [row for row in rows if groups[row[0]] == row[0]]
 
 
@@ -138,14 +141,18 @@ def mixed(rows):
     for name, size, target in zip(names, sizes, mixing.targets(sizes)):
         whole = min(math.floor(target / size), 2)
         rest, drawn = round(target - whole * size), set()
-        for _ in range(mixing.ROUNDS):
-            left = rest
+        before = None
+        while rest != before:
+            before = left = rest
             for _, words, row in sorted(h for h in by[name] if h[2] not in drawn and 0 < h[1] <= rest):
                 if words > left:
                     break
                 left -= words
                 drawn.add(row)
             rest = left
+        over = [(abs(h[1] - rest), h[0], h[2]) for h in by[name] if h[2] not in drawn and 0 < h[1] < 2 * rest]
+        if over:
+            drawn.add(min(over)[2])
         out += [row for _, _, row in by[name] for _ in range(whole + (row in drawn))]
     return out
 
@@ -185,6 +192,9 @@ def test_rows_of_every_stage_and_of_the_run(spark, made, tmp_path):
         rows, before = staged(stage(spark, rows, ""), "t"), expected
         expected = decide(before)
         assert Counter(map(tuple, rows.collect())) == Counter(expected), name
+        if decide is one_of_each:
+            groups = {key: group for key, _, group in linked(before, 3, 90)}
+            assert {row[0] for row in expected} != {row[0] for row in before if groups[row[0]] == row[0]}
         # Each stage has something to do here.
         assert Counter(expected) != Counter(before) and expected, name
     pieces = packed(expected, Encoder(default_path()))
