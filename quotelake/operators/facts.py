@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotelake import schemas as S
 from quotelake.functions.calendar import stamp
@@ -13,6 +14,7 @@ from quotelake.operators.bounded import broadcast_if, fits
 from quotelake.operators.dedup import first_wins, last_wins
 from quotelake.operators.dims import with_keys
 from quotelake.operators.keys import fact_id
+from quotelake.operators.numbering import numbered
 from quotelake.session import staged
 
 PAGE_ROWS = 10_000
@@ -75,6 +77,23 @@ def facts_to_add(
     return only_new(facts, stored).selectExpr(*columns, f"{stamp(now)} AS loaded_at")
 
 
+def first_quotes(quotes: DataFrame, order: Sequence[str] = S.BATCH_ORDER) -> DataFrame:
+    """The first quote of the batch for each ticker, date and source, before keys are known."""
+    return first_wins(quotes, ["ticker", "date", "source"], order)
+
+
+def added(keyed: DataFrame, stored: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    """The facts of stored quotes with keys, one per key, whose key is not among ``stored``."""
+    columns = [name for name in S.FACT_QUOTES.fieldNames() if name != "loaded_at"]
+    return to_facts(only_new(keyed, stored)).selectExpr(*columns, f"{stamp(now)} AS loaded_at")
+
+
+def fact_pages(facts: DataFrame, rows: int = PAGE_ROWS) -> DataFrame:
+    """All facts with the number of their page in id order, from 0: pages of exactly ``rows``
+    facts but the last. One exchange, and no task that sees more than its partition."""
+    return numbered(facts, [F.asc("id")], "_n").selectExpr("*", f"_n div {int(rows)} AS page").drop("_n")
+
+
 def replace_facts(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Stored and incoming facts where the one loaded last wins, the incoming one on a tie."""
     both = stored.selectExpr("*", "0 AS _batch").unionByName(incoming.selectExpr("*", "1 AS _batch"))

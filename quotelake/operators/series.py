@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.operators.keys import recency
+from quotelake.operators.numbering import numbered
 
 SMA_ROWS = 20
+# Rows of a block of the rolling mean.
+BLOCK_ROWS = 100_000
 
 
 def latest_close(facts: DataFrame) -> DataFrame:
@@ -55,3 +58,28 @@ def moving_average(value: str, by: str, order: Sequence[str], rows: int = SMA_RO
     )
     cents = f"floor(sum({value}) {window} * 100 / {rows} + 0.5)"
     return f"CASE WHEN count(*) {window} = {rows} THEN CAST({cents} / 100 AS DECIMAL(18,2)) END"
+
+
+def rolling_means(
+    rows: DataFrame, key: str, order: Sequence[Column], value: str, rows_in: int = SMA_ROWS, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """``rows`` with ``sma``, as ``moving_average``, for keys with any number of rows.
+
+    All rows are numbered by key and ``order`` and cut into blocks of ``block``, whatever their
+    keys, so a key with a third of all rows is many blocks. The last ``rows_in - 1`` rows of a
+    block go to the next one as well (the halo), where they are only looked back at. ``order``
+    must make a key's rows distinct; ``rows`` must have no column ``sma``.
+    """
+    halo = rows_in - 1
+    if block < halo:
+        raise ValueError(f"a block of {block} rows is shorter than its halo of {halo}")
+    held = rows.select(
+        F.col(f"`{key}`").alias("k"), F.col(f"`{value}`").alias("v"), *(by.alias(f"o{n}") for n, by in enumerate(order)),
+        F.struct(*(F.col(f"`{name}`") for name in rows.columns)).alias("held"),
+    )
+    placed = numbered(held, [F.asc("k"), *(F.asc(f"o{n}") for n in range(len(order)))], "n").selectExpr(
+        "k", "v", "held", "n", f"n div {block} AS own",
+        f"explode(IF(n % {block} >= {block - halo}, array(n div {block}, n div {block} + 1), array(n div {block}))) AS block",
+    )
+    mean = moving_average("v", "block, k", ["n"], rows_in)
+    return placed.selectExpr("held", "own", "block", f"{mean} AS sma").where("own = block").select("held.*", "sma")

@@ -648,6 +648,20 @@ SELECT load, ticker, name, asset_type, last_close::DOUBLE AS last_close,
        ifnull(high, last_close)::DOUBLE AS high_52w, ifnull(low, last_close)::DOUBLE AS low_52w,
        {change('last_close', 'high')} AS pct_from_high, {change('last_close', 'low')} AS pct_from_low
 FROM answers""",
+        "load_rebased": lake_load(two_load_types),
+        "close_sketches": f"""WITH {FACTS}
+SELECT year(d) * 100 + month(d) AS month, count(*) AS n_quotes, count(*) AS n_sketched, true AS q25_near, true AS q50_near,
+       true AS q75_near, true AS n_distinct_near FROM facts GROUP BY ALL""",
+        "quote_cube": f"""WITH {FACTS}, {ASSETS}
+SELECT a.asset_type, f.source_key, year(f.d) AS year, grouping_id(a.asset_type, f.source_key, year(f.d)) AS level,
+       count(*) AS n_quotes, sum(f.volume)::DOUBLE AS volume, min(f.low)::DOUBLE AS low, max(f.high)::DOUBLE AS high
+FROM facts f JOIN assets a USING (asset_key) GROUP BY CUBE (a.asset_type, f.source_key, year(f.d))""",
+        "sma_whole_history": f"""WITH {FACTS},
+held AS (SELECT asset_key, date_key, source_key, close, {cents('close')} AS c FROM facts)
+SELECT asset_key, date_key, source_key, close::DOUBLE AS close_price,
+       CASE WHEN count(*) OVER w = 20 THEN ((sum(c) OVER w * 2 + 20) // 40)::DOUBLE / 100 END AS sma
+FROM held WINDOW w AS (PARTITION BY asset_key ORDER BY date_key, source_key DESC ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+        "fact_pages": f"WITH {FACTS} SELECT id, (row_number() OVER (ORDER BY id) - 1) // 10000 AS page FROM facts",
         # Joins in time
         "asof_quotes": ASOF,
         "asof_quotes_ranged": ASOF,

@@ -18,7 +18,7 @@ from quotelake.operators import dims, facts, parse, quality, series, versions
 from quotelake.operators.asof import asof_join
 from quotelake.operators.intervals import valid_at
 from quotelake.operators.keys import fact_id
-from quotelake.plans import analytics, etl, kept, marts
+from quotelake.plans import analytics, cube, etl, kept, marts, sketches
 from quotelake.session import shared_dir, staged
 from quotelake.sources import lake as lakes
 from quotelake.sources import payloads as feeds
@@ -667,6 +667,75 @@ def kept_marts(spark: SparkSession, folder: str) -> DataFrame:
     return plain(found[0].unionByName(found[1]).unionByName(found[2]))
 
 
+@_query
+def close_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts stored in three loads, each added to the sketches alone; per month, whether the
+    quartiles and the number of different closes are within the stated errors."""
+    house = Warehouse.create(spark, shared_dir(spark, "warehouse"))
+    rows = staged(tables.facts(spark, folder).withColumn("part", F.expr(_LOADS)), "sketch-facts")
+    store = sketches.SketchStore(house)
+    for load in (1, 2, 3):
+        write_facts(house, load, rows.where(f"part = {load}").drop("part"))
+        house.commit(Row(load=load, dims_load=0))
+        store.refresh()
+    told = sketches.answers(sketches.merged(store.sketches(), "month")).withColumnRenamed("n_quotes", "n_sketched")
+    # One row per month.
+    held = rows.selectExpr("int(date_key div 100) AS month", "double(close_price) AS close").join(F.broadcast(told), "month")
+    near = ", ".join(
+        f"count_if(close < q{q}) <= count(*) * {q / 100 + sketches.RANK_ERROR} "
+        f"AND count_if(close <= q{q}) >= count(*) * {q / 100 - sketches.RANK_ERROR} AS q{q}_near"
+        for q in (25, 50, 75)
+    )
+    exact = held.groupBy("month").agg(
+        F.count("*").alias("n_quotes"), F.max("n_sketched").alias("n_sketched"), F.expr(f"struct({near})").alias("near"),
+        F.expr(f"abs(count(DISTINCT close) - max(n_distinct)) <= {sketches.COUNT_ERROR} * count(DISTINCT close) + 1").alias("n_distinct_near"),
+    )
+    return exact.select("month", "n_quotes", "n_sketched", "near.*", "n_distinct_near")
+
+
+@_query
+def quote_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(cube.quote_cube(tables.facts(spark, folder), tables.assets(spark, folder)))
+
+
+@_query
+def sma_whole_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The moving average over every asset's whole history."""
+    rows = tables.facts(spark, folder).selectExpr(*S.FACT_KEY, "close_price")
+    return plain(series.rolling_means(rows, "asset_key", [F.col("date_key"), -F.col("source_key")], "close_price"))
+
+
+@_query
+def fact_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return facts.fact_pages(tables.facts(spark, folder)).select("id", "page")
+
+
+class _Overtaken(Warehouse):
+    """A writer whose first commit comes too late: another one loads and commits before it."""
+
+    def __init__(self, spark: SparkSession, root: str, at: int | None = None, other: list[DataFrame] | None = None):
+        super().__init__(spark, root, at)
+        self.other = other if other is not None else []
+
+    def pinned(self) -> Warehouse:
+        return type(self)(self.spark, self.root, self.last["load"], self.other)
+
+    def commit(self, row: Row, replaces: dict[str, list[str]] | None = None) -> None:
+        if self.other:
+            etl.load_records(Warehouse(self.spark, self.root), self.other.pop(), now=NOW)
+        super().commit(row, replaces)
+
+
+@_query
+def load_rebased(spark: SparkSession, folder: str) -> DataFrame:
+    """Two writers at once: the second to commit starts again on top of the first."""
+    root, lake = shared_dir(spark, "warehouse"), tables.lake(spark, folder)
+    Warehouse.create(spark, root)
+    late = _Overtaken(spark, root, other=[lake.where("is_processed")])
+    etl.load_records(late, lake.where("NOT is_processed"), now=NOW)
+    return plain(_readable(late))
+
+
 # Joins in time
 
 

@@ -47,12 +47,12 @@ def test_every_load_equals_the_full_marts(spark, house, star):
     rng, begin = random.Random(4), dt.date(2021, 1, 1)
     _, assets, _ = star([(a, begin, 1, 1) for a in range(1, 9)], inactive=(8,))
     state, seen = kept.MartState(house, buckets=4), set()
-    for step in range(6):
-        rows, today = {}, begin + dt.timedelta(days=150 * (step + 1))
+    for step in range(4):
+        rows, today = {}, begin + dt.timedelta(days=200 * (step + 1))
         for _ in range(120):
-            back = rng.choice((rng.randrange(150), rng.randrange(150), rng.randrange(150 * (step + 1))))
+            back = rng.choice((rng.randrange(200), rng.randrange(200), rng.randrange(200 * (step + 1))))
             asset = rng.randrange(1, 9)
-            if asset == 7 and 0 < step < 5:
+            if asset == 7 and 0 < step < 3:
                 continue
             place = (asset, today - dt.timedelta(days=back), rng.randrange(1, 4))
             if place not in seen:
@@ -60,7 +60,7 @@ def test_every_load_equals_the_full_marts(spark, house, star):
         seen |= set(rows)
         load(spark, house, [(*place, close) for place, close in rows.items()])
         state.refresh(today)
-        for ahead in (0, 40):
+        for ahead in (0, 40)[step % 2 :]:
             day = today + dt.timedelta(days=ahead)
             assert both(state.facts(day), assets, day) == both(house.facts(), assets, day)
     held = state.facts(today).select("asset_key", "date_key").distinct().count()
