@@ -129,11 +129,3 @@ def test_fragments_compose_associatively(case):
         assert (found.text, found.links.tolist()) == (expected.text, expected.links.tolist())
         assert (made.n_a, made.n_b, len(made.suffix.a), len(made.suffix.b)) == (len(a), len(b), 0, 0)
     assert expected.text.decode().count(";") + 1 == len(expected.links) == len(whole.ends())
-
-
-def test_query_columns(spark):
-    from quotelake.llm import queries
-
-    found = queries.op11_token_alignment(spark, "/root/testdata/sf0.001")
-    assert found.columns == COLUMNS
-    assert [kind for _, kind in found.dtypes] == ["bigint"] * 7 + ["string"]

@@ -11,7 +11,7 @@ from collections import Counter
 
 import pytest
 
-from quotelake.llm import queries, target_resampling as tr
+from quotelake.llm import target_resampling as tr
 
 COLUMNS = ["doc_id", "n_features", "weight", "score", "rank"]
 SCHEMA = "doc_id long, text string, n_words int, found string, fit int, rank string, number int"
@@ -117,8 +117,3 @@ def test_drawn_documents_keep_their_columns(spark, pairs):
     assert drawn.columns == documents.columns
     wanted = {row[0] for row in brute(*pairs, percent=30) if row[4] and row[0] is not None}
     assert {row["doc_id"] for row in drawn.collect()} == wanted
-
-
-def test_query_columns(spark):
-    found = queries.op13_target_resampling(spark, "/root/testdata/sf0.001")
-    assert found.columns == COLUMNS and {kind for _, kind in found.dtypes} == {"bigint"}

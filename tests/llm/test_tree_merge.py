@@ -10,7 +10,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quotelake.llm import queries, tree_merge
+from quotelake.llm import tree_merge
 
 COLUMNS = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
 SCHEMA = "doc_id long, text string, row long, digest string, gone_id int, keep string, size int"
@@ -90,9 +90,3 @@ def test_without_copies_keeps_the_documents_columns(spark, pairs):
     assert left.columns == rows.columns
     wanted = {d for d, _, _, kept, _ in brute(pairs) if kept and d is not None}
     assert {r["doc_id"] for r in left.collect() if r["doc_id"] is not None} == wanted
-
-
-def test_query_columns(spark):
-    found = queries.op12_tree_merge_dedup(spark, "/root/testdata/sf0.001")
-    assert [kind for _, kind in found.dtypes] == ["bigint", "bigint", "bigint", "boolean", "string"]
-    assert found.columns == COLUMNS
