@@ -50,6 +50,8 @@ FREQUENT = 4
 COUNTED = 3
 # Holders of a shingle that are paired with each other directly.
 FEW = 32
+# Of a document's shingles with more holders, those by which repeated pairs are told.
+HEAD = 16
 MOST_EXTRA = 4
 MAX_WORDS = 1_000_000
 
@@ -256,7 +258,14 @@ def _later_pairs(posts: DataFrame, first: DataFrame, labels: DataFrame, percent:
     strange = F.expr(
         "coalesce(hub_a, a) <> coalesce(hub_b, b) AND coalesce(hub_a <> b, true) AND coalesce(hub_b <> a, true)"
     )
-    many = one.where(f"df > {FEW} AND label_a <> low").join(other, "t").where(apart).where(strange)
+    # A pair with several common shingles is made at the first of them, as far as both sides'
+    # ``head`` tells, and from one side only.
+    heads = named.where(f"df > {FEW}").groupBy("node").agg(F.expr(f"slice(array_sort(collect_list(t)), 1, {HEAD})").alias("head"))
+    heads = staged(heads, "jaccard-heads")
+    crowd = one.where(f"df > {FEW} AND label_a <> low").join(heads.selectExpr("node AS a", "head AS head_a"), "a")
+    met = other.join(heads.selectExpr("node AS b", "head AS head_b"), "b")
+    once = F.expr("(label_b = low OR a < b) AND NOT exists(array_intersect(head_a, head_b), x -> x < t)")
+    many = crowd.join(met, "t").where(apart).where(strange).where(once)
     many = many.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
     near = _near_one_hub(first, labels, percent)
     return few.where("c > e").select("a", "b").unionByName(many).unionByName(near).distinct()
