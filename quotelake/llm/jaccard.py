@@ -308,12 +308,16 @@ def _near_one_hub(first: DataFrame, labels: DataFrame, percent: int) -> DataFram
     return met.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
-def _tokens(documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node``, ``n``, ``e`` and ``t`` for every shingle of every prefix."""
+def _chosen(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The shingles that count in an estimate, and the prefixes as far as the zones tell."""
     # Exact counts, combined map-side; only shingles that count in an estimate are kept.
     counts = classes.select(F.explode("zone").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     frequent = staged(counts.where(f"df >= {COUNTED}"), "jaccard-frequent")
-    chosen = staged(_prefixes(classes, frequent, percent, whole=False), "jaccard-prefixes")
+    return frequent, staged(_prefixes(classes, frequent, percent, whole=False), "jaccard-prefixes")
+
+
+def _tokens(documents: DataFrame, frequent: DataFrame, chosen: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node``, ``n``, ``e`` and ``t`` for every shingle of every prefix."""
     short = chosen.where("prefix IS NULL").select("node").distinct()
     longer = _whole_sets(documents, short, words)
     longer = staged(longer, "jaccard-whole")
@@ -332,8 +336,8 @@ def _posts(tokens: DataFrame) -> DataFrame:
     return staged(posts, "jaccard-posts")
 
 
-def _narrow_and_posts(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All rows by their sets, the sets' classes, and the posts."""
+def _narrow_and_classes(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows by their sets, and the sets' classes with their zones."""
     folder = shared_dir(documents.sparkSession, "jaccard-sets")
     _sets(documents, words, percent).write.option("compression", "zstd").parquet(folder)
     stored = documents.sparkSession.read.schema(
@@ -341,11 +345,22 @@ def _narrow_and_posts(documents: DataFrame, words: int, percent: int) -> tuple[D
     ).parquet(folder)
     narrow = staged(stored.select("doc_id", "n", "s1", "s2"), "jaccard-narrow")
     held = stored.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(
-        held.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.first("zone").alias("zone")), "jaccard-classes"
-    )
-    names = staged(classes.drop("zone"), "jaccard-names")
-    return narrow, names, _posts(_tokens(documents, classes, words, percent))
+    classes = held.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.first("zone").alias("zone"))
+    return narrow, staged(classes, "jaccard-classes")
+
+
+def _narrow_and_posts(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows by their sets, the sets' classes, and the posts."""
+    spark = documents.sparkSession
+    # Sets, zones, prefixes and tokens are each about as large as the next; no two steps' are kept.
+    with consumed(spark, "jaccard-narrow", "jaccard-names", "jaccard-tokens"):
+        with consumed(spark, "jaccard-narrow", "jaccard-names", "jaccard-frequent", "jaccard-prefixes"):
+            with consumed(spark, "jaccard-narrow", "jaccard-classes"):
+                narrow, classes = _narrow_and_classes(documents, words, percent)
+            names = staged(classes.drop("zone"), "jaccard-names")
+            frequent, chosen = _chosen(classes, percent)
+        tokens = _tokens(documents, frequent, chosen, words, percent)
+    return narrow, names, _posts(tokens)
 
 
 def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -355,7 +370,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
 
 
 def _components(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    # Zones and tokens, many times the size of what follows, are not kept beyond the posts.
+    # Tokens, many times the size of what follows, are not kept beyond the posts.
     with consumed(documents.sparkSession, "jaccard-narrow", "jaccard-names", "jaccard-posts"):
         narrow, names, posts = _narrow_and_posts(documents, words, percent)
     crowded = posts.where(f"df > {FEW}").select(F.col("node").alias("a")).distinct().withColumn("wanted", F.lit(True))
