@@ -1,7 +1,7 @@
 """Line dedup by content-defined line chunks.
 
 A text is read as units: its lines, and lines longer than ``LONG_LINE`` words cut after
-their sentences. Units are hashed, a rolling hash over the hashes of ``WINDOW`` units decides
+their sentences. Units are hashed, a rolling hash over the hashes of two units decides
 after each unit whether a chunk ends there, so chunks begin and end at the same content
 wherever it stands, and an inserted line moves no other chunk. Chunks of at least two units
 and ``LEAST_WORDS`` words that occur again anywhere are removed, all but the first
@@ -29,6 +29,7 @@ import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,7 +40,6 @@ from quotelake.llm.common import map_arrow, slices
 from quotelake.session import consumed, shared_dir, staged
 
 LONG_LINE = 25
-WINDOW = 2
 # One boundary in so many units.
 DIVISOR = 2
 LEAST_UNITS = 2
@@ -47,7 +47,8 @@ LEAST_WORDS = 10
 MOST_UNITS = 64
 
 _LINE = re.compile(rb"[^\n]*\n|[^\n]+")
-_SENTENCE = re.compile(rb".*?[.!?](?:[\x20\x09]+|\n|$)|.+?$", re.DOTALL)
+# Up to the first mark that white space or the line's end follows; else the rest of the line.
+_SENTENCE = re.compile(rb"(?:[^.!?]++|[.!?](?![\x20\x09\n]|$))*+[.!?](?:[\x20\x09]+|\n|$)|[^\n]+|\n")
 _MASK = (1 << 64) - 1
 _FACTOR = 0x9E3779B97F4A7C15
 _RUNS = "array<struct<at:int,n:int,check:boolean>>"
@@ -59,43 +60,47 @@ class Chunk(NamedTuple):
     words: int
 
 
+def _has_words(text: bytes, least: int) -> bool:
+    return len(text) >= 2 * least - 1 and len(text.split(None, least - 1)) >= least
+
+
 def units(text: bytes) -> list[bytes]:
     """The text's units; joined they are the text."""
     found = []
     for line in _LINE.findall(text):
-        if len(line.split()) > LONG_LINE:
+        if _has_words(line, LONG_LINE + 1):
             found += _SENTENCE.findall(line)
         else:
             found.append(line)
     return found
 
 
-def chunks(text: bytes) -> list[Chunk]:
-    """The text's chunks; joined they are the text. A unit's hash leaves out white space at
-    its end, so the last line of a text ends a chunk like any other."""
-    made: list[Chunk] = []
-    held: list[bytes] = []
-    hashes: list[int] = []
-
-    def close() -> None:
-        content = b"".join(held)
-        made.append(Chunk(content, len(held), len(content.split())))
-        held.clear()
-
+def chunk_spans(text: bytes) -> list[tuple[int, int, int]]:
+    """Start, end and number of units of the text's chunks. A unit's hash leaves out white
+    space at its end, so the last line of a text ends a chunk like any other."""
+    made = []
+    start = at = held = before = 0
     for unit in units(text):
-        held.append(unit)
-        hashes.append(xxhash.xxh3_64_intdigest(unit.rstrip()))
-        rolling = 0
-        for value in hashes[-WINDOW:]:
-            rolling = (rolling * _FACTOR + value) & _MASK
-        rolling ^= rolling >> 32
-        if len(held) >= MOST_UNITS or (len(held) >= LEAST_UNITS and rolling % DIVISOR == 0):
-            close()
+        at += len(unit)
+        held += 1
+        value = xxhash.xxh3_64_intdigest(unit.rstrip())
+        if held >= LEAST_UNITS:
+            rolling = (before * _FACTOR + value) & _MASK
+            if held >= MOST_UNITS or (rolling ^ (rolling >> 32)) % DIVISOR == 0:
+                made.append((start, at, held))
+                start, held = at, 0
+        before = value
     if held:
-        close()
+        made.append((start, at, held))
     return made
 
 
+def chunks(text: bytes) -> list[Chunk]:
+    """The text's chunks; joined they are the text."""
+    parts = [(text[start:end], held) for start, end, held in chunk_spans(text)]
+    return [Chunk(content, held, len(content.split())) for content, held in parts]
+
+
 def compared(chunk: Chunk) -> bytes:
     """What two occurrences must share: the bytes, without white space at the end."""
     return chunk.content.rstrip()
@@ -117,14 +122,17 @@ def _occurrences(documents: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
-            for k_id, k_text, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for at, chunk in enumerate(chunks(text.encode())):
-                    if removable(chunk):
-                        digest = xxhash.xxh3_128_intdigest(compared(chunk))
-                        rows.append((k_id, k_text, at, (digest >> 64) - (1 << 63), (digest & _MASK) - (1 << 63)))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 5, kinds)]
+            numbers, places, found = [], [], []
+            for number, text in enumerate(batch.column(2).to_pylist()):
+                data = text.encode()
+                for at, (start, end, held) in enumerate(chunk_spans(data)):
+                    if held >= LEAST_UNITS and _has_words(content := data[start:end].rstrip(), LEAST_WORDS):
+                        numbers.append(number)
+                        places.append(at)
+                        found.append(xxhash.xxh3_128_digest(content))
+            h = (np.frombuffer(b"".join(found), ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64).reshape(-1, 2)
+            keys = (batch.column(k).take(pa.array(numbers, pa.int32())) for k in range(2))
+            columns = [*keys, pa.array(places, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])]
             yield pa.RecordBatch.from_arrays(columns, ["k_id", "k_text", "at", "h1", "h2"])
 
     rows = _key(documents.select("doc_id", F.col("text"))).where("text IS NOT NULL")
@@ -151,15 +159,19 @@ def _contents(marked: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
-            rows = []
-            for k_id, k_text, text, marks in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                made = chunks(text.encode())
-                rows += [(m["h1"], m["h2"], compared(made[m["at"]]), k_id, k_text, m["at"]) for m in marks]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 6, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "content", "k_id", "k_text", "at"])
-
-    rows = marked.where("marks IS NOT NULL").select("k_id", "k_text", "text", "marks")
+            numbers, contents = [], []
+            for number, (text, ats) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                data = text.encode()
+                made = chunk_spans(data)
+                contents += [data[made[at][0] : made[at][1]].rstrip() for at in ats]
+                numbers += [number] * len(ats)
+            keys = (batch.column(k).take(pa.array(numbers, pa.int32())) for k in range(2))
+            at, h1, h2 = (batch.column(k).flatten() for k in (3, 4, 5))
+            yield pa.RecordBatch.from_arrays(
+                [h1, h2, pa.array(contents, pa.binary()), *keys, at], ["h1", "h2", "content", "k_id", "k_text", "at"]
+            )
+
+    rows = marked.where("marks IS NOT NULL").selectExpr("k_id", "k_text", "text", "marks.at", "marks.h1", "marks.h2")
     return map_arrow(rows, read, "h1 bigint, h2 bigint, content binary, k_id bigint, k_text bigint, at int")
 
 
@@ -233,7 +245,8 @@ def _marked(documents: DataFrame, marks: DataFrame) -> DataFrame:
     names = documents.columns
     packed = documents.select(F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"), "doc_id", "text")
     keyed = _key(packed)
-    marked = keyed.join(marks, ["k_id", "k_text"], "left").select("row", "k_id", "k_text", "marks", "runs")
+    # Whole rows need no sort where the marks of a partition, far smaller, are hashed.
+    marked = keyed.join(marks.hint("shuffle_hash"), ["k_id", "k_text"], "left").select("row", "k_id", "k_text", "marks", "runs")
     folder = shared_dir(spark, "chunk-marked")
     marked.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(marked.schema).parquet(folder)
@@ -255,20 +268,17 @@ def _cut_out(documents: DataFrame, marked: DataFrame) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, spans = [], []
-            for text, marks, runs, later in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
-                gone = {m["at"] for m in marks or () if not m["keeps"]}
-                windows = [(r["at"], r["n"]) for r in runs or () if not r["check"]] + [(at, 1) for at in later or ()]
+            originals = batch.column("row").field("text")
+            columns = (batch.column(k).to_pylist() for k in range(1, 5))
+            for number, (gone, whole_at, whole_n, later) in enumerate(zip(*columns)):
+                windows = [*zip(whole_at or (), whole_n or ()), *((at, 1) for at in later or ())]
                 if not gone and not windows:
                     texts.append(None)
                     spans.append([])
                     continue
-                data = text.encode()
-                found, at = [], 0
-                for number, chunk in enumerate(chunks(data) if gone else ()):
-                    if number in gone:
-                        found.append((at, at + len(chunk.content)))
-                    at += len(chunk.content)
-                found += passages.spans(data, windows) if windows else []
+                data = originals[number].as_py().encode()
+                made = chunk_spans(data) if gone else []
+                found = [made[at][:2] for at in gone or ()] + (passages.spans(data, windows) if windows else [])
                 left, cut, at = [], [], 0
                 for start, end in sorted(found):
                     if start < at:
@@ -285,5 +295,7 @@ def _cut_out(documents: DataFrame, marked: DataFrame) -> DataFrame:
             )
 
     schema = f"row {row_type}, kept_text string, removed array<struct<start:bigint,end:bigint>>"
-    out = map_arrow(marked.select("row", "text", "marks", "runs", "later"), remove, schema)
+    whole = "filter(runs, r -> NOT r.check)"
+    parts = marked.selectExpr("row", "filter(marks, m -> NOT m.keeps).at AS gone", f"{whole}.at AS whole_at", f"{whole}.n AS whole_n", "later")
+    out = map_arrow(parts, remove, schema)
     return out.withColumn("kept_text", F.coalesce("kept_text", "row.text"))

@@ -4,20 +4,22 @@ A window is ``RUN`` words in a row, with the white space between them. A window
 equal one stands earlier (by ``doc_id``, then place in the text); of a document all words of
 such windows go, so runs of any length are met whole and the first occurrence stays.
 
-Windows are not compared one by one. The least hash of the runs of ``GRAM`` words in a window
-is its anchor: it depends on the window alone, so equal windows have equal anchors, and
-windows in a row with one anchor, a stretch, are one row. Stretches whose anchor occurs once
-never leave the first pass. A stretch that occurred before goes whole; only first occurrences
-of stretches that share an anchor with other stretches, or repeat in themselves, are read
-window by window. Anchor hashes only propose; stretches and windows are equal if their
-128-bit BLAKE2b digests are.
+Windows are not compared one by one. The least hash of the runs of ``GRAM`` words in a window,
+the leftmost if there are several, is its anchor: it depends on the window alone, so equal
+windows have equal anchors at equal places in them, and windows in a row with one anchor, a
+stretch, are one row. Stretches whose anchor occurs once never leave the first pass. A stretch
+that occurred before goes whole. Of the first occurrences of stretches that share an anchor
+with other ones, windows are told by their place around the anchor in blocks of ``BLOCK``; the
+windows of a block share a core of ``CORE`` words, and only blocks whose core another such
+stretch has as well are read window by window. Hashes of anchors and cores only propose;
+stretches and windows are equal if their 128-bit BLAKE2b digests are.
 """
 
 from __future__ import annotations
 
-import hashlib
-import struct
 from collections.abc import Iterable, Iterator
+from functools import cache
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -26,21 +28,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import map_arrow, slices
-from quotelake.session import consumed, staged
+from quotelake.session import consumed, shared_dir, staged
 
 RUN = 50
-GRAM = 20
+GRAM = 12
+BLOCK = 10
+CORE = RUN - BLOCK + 1
 # Texts up to so many bytes are cut together; a longer one is cut alone.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 _GRAMS = RUN - GRAM + 1
+_BLOCKS = -(-_GRAMS // BLOCK)
+# A core's hash in a stretch's row, which holds those of all its blocks.
+_CORE_BITS = 64 // _BLOCKS
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _RANDOM = np.random.default_rng(0x51)
 _BYTE = _RANDOM.integers(1, 1 << 64, 256, dtype=np.uint64)
-_PLACE = _RANDOM.integers(1, 1 << 64, 1 << 12, dtype=np.uint64) | np.uint64(1)
+_BYTE[_WHITE] = 0
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_TWO = struct.Struct("<qq")
+_BASE = 0xD6E8FEB86659FD93
 
 
 class Stretch(NamedTuple):
@@ -50,8 +57,22 @@ class Stretch(NamedTuple):
     n: int
     """Windows in it."""
     content: bytes
-    again: bool
-    """It may hold one window twice."""
+
+
+class Stretches(NamedTuple):
+    """Stretches of several texts, a row each."""
+
+    text: np.ndarray
+    """Number of the text."""
+    anchor: np.ndarray
+    at: np.ndarray
+    n: np.ndarray
+    back: np.ndarray
+    """Words from the stretch's first to its anchor."""
+    cores: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    """Where it lies in the joined texts."""
 
 
 def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -62,70 +83,122 @@ def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
 
 
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ``_BASE`` and of its inverse, 2 ** ``bits`` of each."""
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(1 << bits, base, np.uint64)
+        factors[0] = 1
+        made.append(np.cumprod(factors))
+    return made[0], made[1]
+
+
 def _word_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials in ``_BASE`` over the words' bytes, by sums over the text up to the words."""
     data = np.frombuffer(text, np.uint8)
     found = np.empty(len(starts), np.uint64)
     for low in range(0, len(starts), 1 << 17):
         first, last = starts[low : low + (1 << 17)], ends[low : low + (1 << 17)]
         part = data[first[0] : last[-1]]
+        powers, inverses = _powers(int(len(part)).bit_length())
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * powers[: len(part)], out=sums[1:])
         heads = first - first[0]
-        within = np.arange(len(part)) - np.repeat(heads, np.diff(heads, append=len(part)))
-        values = _BYTE[part] * _PLACE[within & (len(_PLACE) - 1)]
-        values[_WHITE[part]] = 0
-        found[low : low + len(first)] = np.add.reduceat(values, heads)
+        found[low : low + len(first)] = (sums[last - first[0]] - sums[heads]) * inverses[heads]
     return found
 
 
-def _least(values: np.ndarray, width: int, least: np.ufunc = np.minimum) -> np.ndarray:
-    """``least`` over each run of ``width`` values."""
-    size = 1
-    while 2 * size <= width:
-        values = least(values[:-size], values[size:])
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * _FACTOR
+    return values ^ (values >> np.uint64(29))
+
+
+def _run_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of ``width`` words, made of those of runs of 1, 2, 4, ... words."""
+    power = lambda n: np.uint64(pow(int(_FACTOR), n, 1 << 64))
+    part, size, total, length = words, 1, None, 0
+    while True:
+        if width & size:
+            length += size
+            count = len(words) - length + 1
+            total = part if total is None else part[:count] * power(length - size) + total[size : size + count]
+        if 2 * size > width:
+            return _mixed(total)
+        part = part[:-size] * power(size) + part[size:]
         size *= 2
-    rest = width - size
-    return least(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def stretches(texts: list[bytes]) -> Iterator[list[Stretch]]:
-    """The stretches of each text; their windows are all windows of the text."""
-    joined = b"\n".join(texts)
+def _first_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of each run of ``width`` values, and where it stands first."""
+    least, at = values, np.arange(len(values), dtype=np.int32)
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        right = least[step:] < least[:-step]
+        at = np.where(right, at[step:], at[:-step])
+        least = np.where(right, least[step:], least[:-step])
+        size += step
+    return least, at
+
+
+def cut(joined: bytes, heads: np.ndarray) -> Stretches:
+    """The stretches of texts joined by new lines, which begin at ``heads``; the stretches'
+    windows are all windows of the texts."""
     starts, ends = word_bounds(joined)
+    if len(starts) < RUN:
+        return Stretches(*(np.zeros(0, np.int64) for _ in Stretches._fields))
+    owner = np.searchsorted(heads, starts, "right") - 1
+    first_word = np.searchsorted(starts, heads)
+    words = _word_hashes(joined, starts, ends)
+    anchors, places = _first_least(_run_hashes(words, GRAM), _GRAMS)
+    cores = _run_hashes(words, CORE) >> np.uint64(64 - _CORE_BITS)
+    whole = owner[: len(anchors)] == owner[RUN - 1 :]
+    change = np.ones(len(anchors) + 1, bool)
+    change[1:-1] = (places[1:] != places[:-1]) | (whole[1:] != whole[:-1])
+    bounds = np.flatnonzero(change)
+    low, high = bounds[:-1], bounds[1:]
+    low, high = low[whole[low]], high[whole[low]]
+    text, place = owner[low], places[low]
+    held = np.zeros(len(low), np.uint64)
+    for block in range(_BLOCKS):
+        # The core of a block that the stretch has lies in the text; others are not read.
+        core = cores[np.clip(place - block * BLOCK, 0, len(cores) - 1)]
+        held |= core << np.uint64(block * _CORE_BITS)
+    return Stretches(
+        text, anchors[low].view(np.int64), low - first_word[text], high - low, place - low, held.view(np.int64),
+        starts[low], ends[high + RUN - 2],
+    )
+
+
+def _joined(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    return b"\n".join(texts), np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
+
+
+def stretches(texts: list[bytes]) -> Iterator[list[Stretch]]:
+    """The stretches of each text with their bytes."""
+    joined, heads = _joined(texts)
     found: list[list[Stretch]] = [[] for _ in texts]
-    if len(starts) >= RUN:
-        heads = np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
-        owner = np.searchsorted(heads, starts, "right") - 1
-        first_word = np.searchsorted(starts, heads)
-        words = _word_hashes(joined, starts, ends)
-        grams = np.zeros(len(words) - GRAM + 1, np.uint64)
-        for k in range(GRAM):
-            grams = grams * _FACTOR + words[k : k + len(grams)]
-        grams ^= grams >> np.uint64(31)
-        grams *= _FACTOR
-        grams ^= grams >> np.uint64(29)
-        anchors = _least(grams, _GRAMS)
-        # The places at which some window has its anchor, and anchors that come twice close by.
-        spread = np.concatenate((np.zeros(_GRAMS - 1, np.uint64), anchors, np.zeros(_GRAMS - 1, np.uint64)))
-        chosen = np.flatnonzero(_least(spread, _GRAMS, np.maximum) == grams)
-        ordered = chosen[np.argsort(grams[chosen], kind="stable")]
-        near = (grams[ordered][1:] == grams[ordered][:-1]) & (np.diff(ordered) <= 2 * RUN)
-        twice = np.unique(grams[ordered][1:][near])
-        whole = owner[: len(anchors)] == owner[RUN - 1 :]
-        change = np.ones(len(anchors) + 1, bool)
-        change[1:-1] = (anchors[1:] != anchors[:-1]) | (whole[1:] != whole[:-1])
-        cuts = np.flatnonzero(change)
-        low, high = cuts[:-1], cuts[1:]
-        low, high = low[whole[low]], high[whole[low]]
-        columns = (
-            owner[low], anchors[low].view(np.int64), low - first_word[owner[low]], high - low,
-            starts[low], ends[high + RUN - 2], np.isin(anchors[low], twice),
-        )
-        for text, anchor, at, n, start, end, again in zip(*(c.tolist() for c in columns)):
-            found[text].append(Stretch(anchor, at, n, joined[start:end], again))
+    made = cut(joined, heads)
+    columns = (made.text, made.anchor, made.at, made.n, made.start, made.end)
+    for text, anchor, at, n, start, end in zip(*(c.tolist() for c in columns)):
+        found[text].append(Stretch(anchor, at, n, joined[start:end]))
     yield from found
 
 
-def digest(content: bytes) -> tuple[int, int]:
-    return _TWO.unpack(hashlib.blake2b(content, digest_size=16).digest())
+def repeats(made: Stretches, h: np.ndarray) -> np.ndarray:
+    """Whether a stretch with digest ``h`` stands earlier in the same text."""
+    order = np.lexsort((h[:, 1], h[:, 0], made.text))
+    text, h = made.text[order], h[order]
+    again = np.zeros(len(order), bool)
+    again[order[1:]] = (text[1:] == text[:-1]) & (h[1:] == h[:-1]).all(1)
+    return again
+
+
+def digests(text: bytes, bounds: Iterable[tuple[int, int]]) -> np.ndarray:
+    """128-bit digests of parts of ``text``, as two columns."""
+    made = b"".join([blake2b(text[start:end], digest_size=16).digest() for start, end in bounds])
+    return np.frombuffer(made, "<i8").reshape(-1, 2)
 
 
 def spans(text: bytes, runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -163,51 +236,95 @@ def _together(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(schema)
+def _batch(columns: Iterable[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _stretches(keyed: DataFrame) -> DataFrame:
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of stretches; a row with ``again`` holds stretches in a row that all stand earlier
+    in the same text, so they go, and the earlier ones meet what is equal to them elsewhere."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
-            *((name, pa.int64()) for name in ("a", "h1", "h2", "k_id", "k_text")),
-            ("at", pa.int32()), ("n", pa.int32()), ("again", pa.bool_()),
+            *((name, pa.int64()) for name in ("a", "h1", "h2", "k_id", "k_text", "cores")),
+            *((name, pa.int32()) for name in ("at", "n", "back")), ("again", pa.bool_()),
         ])
         for batch in slices(batches):
             for held in _together(zip(*(batch.column(k).to_pylist() for k in range(3)))):
-                rows = []
-                for (k_id, k_text, _), made in zip(held, stretches([data for *_, data in held])):
-                    rows += [(s.anchor, *digest(s.content), k_id, k_text, s.at, s.n, s.again) for s in made]
-                yield _batch(rows, schema)
-
-    schema = "a bigint, h1 bigint, h2 bigint, k_id bigint, k_text bigint, at int, n int, again boolean"
-    return map_arrow(keyed.where("text IS NOT NULL").select("k_id", "k_text", "text"), cut, schema)
+                k_ids, k_texts, texts = zip(*held)
+                joined, heads = _joined(texts)
+                made = cut(joined, heads)
+                h = digests(joined, zip(made.start.tolist(), made.end.tolist()))
+                keys = (np.array(k, np.int64)[made.text] for k in (k_ids, k_texts))
+                again = repeats(made, h)
+                # Of repeats in a row the first one's row stands for all.
+                follows = again[1:] & again[:-1] & (made.text[1:] == made.text[:-1])
+                one = np.flatnonzero(np.concatenate(([True], ~follows))[: len(again)])
+                n = np.add.reduceat(made.n, one) if len(one) else made.n
+                columns = (made.anchor, h[:, 0], h[:, 1], *keys, made.cores, made.at)
+                yield _batch((*(c[one] for c in columns), n, made.back[one], again[one]), schema)
+
+    schema = "a bigint, h1 bigint, h2 bigint, k_id bigint, k_text bigint, cores bigint, at int, n int, back int, again boolean"
+    return map_arrow(keyed.where("text IS NOT NULL").select("k_id", "k_text", "text"), read, schema)
+
+
+def _stored_stretches(keyed: DataFrame) -> DataFrame:
+    """The stretches, stored; a dictionary of hashes would be made for nothing."""
+    made = _stretches(keyed)
+    folder = shared_dir(keyed.sparkSession, "passage-stretches")
+    plain = {f"parquet.enable.dictionary#{name}": "false" for name in ("a", "h1", "h2", "cores", "at")}
+    made.write.options(**plain).parquet(folder)
+    return keyed.sparkSession.read.schema(made.schema).parquet(folder)
 
 
 def runs(keyed: DataFrame) -> DataFrame:
     """Of rows with ``k_id``, ``k_text`` and ``text``, per document an array of its stretches
-    that go whole, or whose windows must be read (``check``)."""
-    with consumed(keyed.sparkSession, "passage-hits"):
-        hits = _hits(keyed)
+    that go whole, and of the windows in a row that must be read (``check``)."""
+    with consumed(keyed.sparkSession, "passage-hits", "passage-again"):
+        found = _stored_stretches(keyed)
+        hits = _hits(found.where("NOT again").drop("again"))
+        again = found.where("again").select("k_id", "k_text", F.struct("at", "n", F.lit(False).alias("check")).alias("run"))
+        again = staged(again, "passage-again")
     place = F.struct("k_id", "k_text", "at")
     firsts = hits.groupBy("a", "h1", "h2").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.max("varied").alias("varied")
     ).where("varied OR first <> last").select("a", "h1", "h2", "first")
     marked = hits.join(staged(firsts, "passage-firsts"), ["a", "h1", "h2"]).selectExpr(
-        "k_id", "k_text", "at", "n", "first = named_struct('k_id', k_id, 'k_text', k_text, 'at', at) AS check", "varied"
+        "a", "k_id", "k_text", "at", "n", "back", "cores",
+        "first = named_struct('k_id', k_id, 'k_text', k_text, 'at', at) AS check", "varied",
     ).where("varied OR NOT check").drop("varied")
-    return marked.groupBy("k_id", "k_text").agg(F.collect_set(F.struct("at", "n", "check")).alias("runs"))
-
-
-def _hits(keyed: DataFrame) -> DataFrame:
+    marked = staged(marked, "passage-marked")
+    whole = marked.where("NOT check").select("k_id", "k_text", F.struct("at", "n", "check").alias("run"))
+    found = whole.unionByName(again).unionByName(_shared_blocks(marked.where("check")))
+    return found.groupBy("k_id", "k_text").agg(F.collect_set("run").alias("runs"))
+
+
+def _shared_blocks(firsts: DataFrame) -> DataFrame:
+    """The windows of first occurrences, in blocks, whose core several of them have."""
+    blocks = firsts.selectExpr(
+        "*", f"explode(sequence(int((back - n + 1) div {BLOCK}), int(back div {BLOCK}))) AS block"
+    ).selectExpr(
+        "a", "block", f"shiftrightunsigned(cores, block * {_CORE_BITS}) & {(1 << _CORE_BITS) - 1}L AS core", "k_id", "k_text",
+        "at + back AS anchor_at", f"least(block * {BLOCK} + {BLOCK - 1}, back) AS far",
+        f"greatest(block * {BLOCK}, back - n + 1) AS near",
+    )
+    # Equal rows of one document are one occurrence.
+    place = ["k_id", "k_text", "anchor_at"]
+    shared = blocks.groupBy("a", "block", "core").agg(
+        *(least(name).alias(f"{least.__name__}_{name}") for name in place for least in (F.min, F.max))
+    ).where(" OR ".join(f"min_{name} <> max_{name}" for name in place)).select("a", "block", "core")
+    return blocks.join(shared, ["a", "block", "core"], "left_semi").selectExpr(
+        "k_id", "k_text", "named_struct('at', anchor_at - far, 'n', far - near + 1, 'check', true) AS run"
+    )
+
+
+def _hits(found: DataFrame) -> DataFrame:
     """The stretches whose anchor occurs again."""
-    found = staged(_stretches(keyed), "passage-stretches")
     # Copies meet map-side, so a common anchor leaves each task once.
     anchors = found.groupBy("a").agg(
         F.count("*").alias("c"), F.min("h1").alias("low"), F.max("h1").alias("high"),
-        F.min("h2").alias("low2"), F.max("h2").alias("high2"), F.max("again").alias("loops"),
-    ).where("c > 1 OR loops").selectExpr("a", "loops OR low <> high OR low2 <> high2 AS varied")
+        F.min("h2").alias("low2"), F.max("h2").alias("high2"),
+    ).where("c > 1").selectExpr("a", "low <> high OR low2 <> high2 AS varied")
     return staged(found.join(staged(anchors, "passage-anchors"), "a"), "passage-hits")
 
 
@@ -219,18 +336,17 @@ def later_windows(rows: DataFrame) -> DataFrame:
         schema = pa.schema([*((name, pa.int64()) for name in ("h1", "h2", "k_id", "k_text")), ("at", pa.int32())])
         for batch in slices(batches, 128):
             made = []
-            for k_id, k_text, text, found in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for k_id, k_text, text, found, counts in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 data = text.encode()
-                starts, ends = (bounds.tolist() for bounds in word_bounds(data))
-                for run in found:
-                    if run["check"]:
-                        made += [
-                            (*digest(data[starts[at] : ends[at + RUN - 1]]), k_id, k_text, at)
-                            for at in range(run["at"], run["at"] + run["n"])
-                        ]
-            yield _batch(made, schema)
-
-    rows = rows.where("exists(runs, r -> r.check)").select("k_id", "k_text", "text", "runs")
+                starts, ends = word_bounds(data)
+                at = np.concatenate([np.arange(first, first + n) for first, n in zip(found, counts)])
+                h = digests(data, zip(starts[at].tolist(), ends[at + RUN - 1].tolist()))
+                made.append((h[:, 0], h[:, 1], *(np.full(len(at), key, np.int64) for key in (k_id, k_text)), at))
+            yield _batch(map(np.concatenate, zip(*made)), schema)
+
+    check = "filter(runs, r -> r.check)"
+    rows = rows.where("exists(runs, r -> r.check)")
+    rows = rows.selectExpr("k_id", "k_text", "text", f"{check}.at AS found", f"{check}.n AS counts")
     schema = "h1 bigint, h2 bigint, k_id bigint, k_text bigint, at int"
     found = staged(map_arrow(rows, read, schema), "passage-windows")
     place = F.struct("k_id", "k_text", "at")
