@@ -17,18 +17,18 @@ stretches and windows are equal if their 128-bit BLAKE2b digests are.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import map_arrow, slices
-from quotelake.session import consumed, shared_dir, staged
+from quotelake.session import staged
 
 RUN = 50
 GRAM = 12
@@ -43,9 +43,13 @@ _BLOCKS = -(-_GRAMS // BLOCK)
 _CORE_BITS = 64 // _BLOCKS
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
+# For bytes.translate: 1 for white space.
+_IS_WHITE = _WHITE.tobytes()
 _RANDOM = np.random.default_rng(0x51)
 _BYTE = _RANDOM.integers(1, 1 << 64, 256, dtype=np.uint64)
 _BYTE[_WHITE] = 0
+# A run's place, in the low half of what the least is taken of.
+_PLACE = np.uint64(32)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 
@@ -77,10 +81,10 @@ class Stretches(NamedTuple):
 
 def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of ``text`` start and end."""
-    white = np.ones(len(text) + 2, np.int8)
-    white[1:-1] = _WHITE[np.frombuffer(text, np.uint8)]
-    edges = np.diff(white)
-    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    white = np.ones(len(text) + 2, bool)
+    white[1:-1] = np.frombuffer(text.translate(_IS_WHITE), bool)
+    edges = np.flatnonzero(white[1:] != white[:-1])
+    return edges[::2].copy(), edges[1::2].copy()
 
 
 @cache
@@ -129,32 +133,31 @@ def _run_hashes(words: np.ndarray, width: int) -> np.ndarray:
         size *= 2
 
 
-def _first_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least of each run of ``width`` values, and where it stands first."""
-    least, at = values, np.arange(len(values), dtype=np.int32)
+def _first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each run of ``width`` values stands first, by their upper halves."""
+    least = (values >> _PLACE << _PLACE) | np.arange(len(values), dtype=np.uint64)
     size = 1
     while size < width:
         step = min(size, width - size)
-        right = least[step:] < least[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        least = np.where(right, least[step:], least[:-step])
+        least = np.minimum(least[step:], least[:-step])
         size += step
-    return least, at
+    return (least & np.uint64((1 << 32) - 1)).view(np.int64)
 
 
-def cut(joined: bytes, heads: np.ndarray) -> Stretches:
+def cut(joined: bytes, heads: np.ndarray, words: tuple[np.ndarray, np.ndarray] | None = None) -> Stretches:
     """The stretches of texts joined by new lines, which begin at ``heads``; the stretches'
-    windows are all windows of the texts."""
-    starts, ends = word_bounds(joined)
+    windows are all windows of the texts. ``words``: their bounds, if known."""
+    starts, ends = words or word_bounds(joined)
     if len(starts) < RUN:
         return Stretches(*(np.zeros(0, np.int64) for _ in Stretches._fields))
-    owner = np.searchsorted(heads, starts, "right") - 1
     first_word = np.searchsorted(starts, heads)
-    words = _word_hashes(joined, starts, ends)
-    anchors, places = _first_least(_run_hashes(words, GRAM), _GRAMS)
-    cores = _run_hashes(words, CORE) >> np.uint64(64 - _CORE_BITS)
-    whole = owner[: len(anchors)] == owner[RUN - 1 :]
-    change = np.ones(len(anchors) + 1, bool)
+    owner = np.repeat(np.arange(len(heads)), np.diff(first_word, append=len(starts)))
+    hashes = _word_hashes(joined, starts, ends)
+    grams = _run_hashes(hashes, GRAM)
+    places = _first_least(grams, _GRAMS)
+    cores = _run_hashes(hashes, CORE) >> np.uint64(64 - _CORE_BITS)
+    whole = owner[: len(places)] == owner[RUN - 1 :]
+    change = np.ones(len(places) + 1, bool)
     change[1:-1] = (places[1:] != places[:-1]) | (whole[1:] != whole[:-1])
     bounds = np.flatnonzero(change)
     low, high = bounds[:-1], bounds[1:]
@@ -166,18 +169,18 @@ def cut(joined: bytes, heads: np.ndarray) -> Stretches:
         core = cores[np.clip(place - block * BLOCK, 0, len(cores) - 1)]
         held |= core << np.uint64(block * _CORE_BITS)
     return Stretches(
-        text, anchors[low].view(np.int64), low - first_word[text], high - low, place - low, held.view(np.int64),
+        text, grams[place].view(np.int64), low - first_word[text], high - low, place - low, held.view(np.int64),
         starts[low], ends[high + RUN - 2],
     )
 
 
-def _joined(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+def joined_texts(texts: Sequence[bytes]) -> tuple[bytes, np.ndarray]:
     return b"\n".join(texts), np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
 
 
 def stretches(texts: list[bytes]) -> Iterator[list[Stretch]]:
     """The stretches of each text with their bytes."""
-    joined, heads = _joined(texts)
+    joined, heads = joined_texts(texts)
     found: list[list[Stretch]] = [[] for _ in texts]
     made = cut(joined, heads)
     columns = (made.text, made.anchor, made.at, made.n, made.start, made.end)
@@ -188,8 +191,13 @@ def stretches(texts: list[bytes]) -> Iterator[list[Stretch]]:
 
 def repeats(made: Stretches, h: np.ndarray) -> np.ndarray:
     """Whether a stretch with digest ``h`` stands earlier in the same text."""
-    order = np.lexsort((h[:, 1], h[:, 0], made.text))
-    text, h = made.text[order], h[order]
+    return repeated(made.text, h)
+
+
+def repeated(text: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Of rows in order of place, whether the digest ``h`` stands earlier in the same text."""
+    order = np.lexsort((h[:, 1], h[:, 0], text))
+    text, h = text[order], h[order]
     again = np.zeros(len(order), bool)
     again[order[1:]] = (text[1:] == text[:-1]) & (h[1:] == h[:-1]).all(1)
     return again
@@ -222,16 +230,15 @@ def spans(text: bytes, runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]
     return found
 
 
-def _together(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+def together(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
     """Rows in groups whose texts, the last column, have about ``TOGETHER`` bytes at most."""
     held, size = [], 0
-    for *key, text in rows:
-        data = text.encode()
-        if held and size + len(data) > TOGETHER:
+    for row in rows:
+        if held and size + len(row[-1]) > TOGETHER:
             yield held
             held, size = [], 0
-        held.append((*key, data))
-        size += len(data)
+        held.append(row)
+        size += len(row[-1])
     if held:
         yield held
 
@@ -240,58 +247,44 @@ def _batch(columns: Iterable[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _stretches(keyed: DataFrame) -> DataFrame:
-    """Rows of stretches; a row with ``again`` holds stretches in a row that all stand earlier
-    in the same text, so they go, and the earlier ones meet what is equal to them elsewhere."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            *((name, pa.int64()) for name in ("a", "h1", "h2", "k_id", "k_text", "cores")),
-            *((name, pa.int32()) for name in ("at", "n", "back")), ("again", pa.bool_()),
-        ])
-        for batch in slices(batches):
-            for held in _together(zip(*(batch.column(k).to_pylist() for k in range(3)))):
-                k_ids, k_texts, texts = zip(*held)
-                joined, heads = _joined(texts)
-                made = cut(joined, heads)
-                h = digests(joined, zip(made.start.tolist(), made.end.tolist()))
-                keys = (np.array(k, np.int64)[made.text] for k in (k_ids, k_texts))
-                again = repeats(made, h)
-                # Of repeats in a row the first one's row stands for all.
-                follows = again[1:] & again[:-1] & (made.text[1:] == made.text[:-1])
-                one = np.flatnonzero(np.concatenate(([True], ~follows))[: len(again)])
-                n = np.add.reduceat(made.n, one) if len(one) else made.n
-                columns = (made.anchor, h[:, 0], h[:, 1], *keys, made.cores, made.at)
-                yield _batch((*(c[one] for c in columns), n, made.back[one], again[one]), schema)
-
-    schema = "a bigint, h1 bigint, h2 bigint, k_id bigint, k_text bigint, cores bigint, at int, n int, back int, again boolean"
-    return map_arrow(keyed.where("text IS NOT NULL").select("k_id", "k_text", "text"), read, schema)
-
-
-def _stored_stretches(keyed: DataFrame) -> DataFrame:
-    """The stretches, stored; a dictionary of hashes would be made for nothing."""
-    made = _stretches(keyed)
-    folder = shared_dir(keyed.sparkSession, "passage-stretches")
-    plain = {f"parquet.enable.dictionary#{name}": "false" for name in ("a", "h1", "h2", "cores", "at")}
-    made.write.options(**plain).parquet(folder)
-    return keyed.sparkSession.read.schema(made.schema).parquet(folder)
-
-
-def runs(keyed: DataFrame) -> DataFrame:
-    """Of rows with ``k_id``, ``k_text`` and ``text``, per document an array of its stretches
-    that go whole, and of the windows in a row that must be read (``check``)."""
-    with consumed(keyed.sparkSession, "passage-hits", "passage-again"):
-        found = _stored_stretches(keyed)
-        hits = _hits(found.where("NOT again").drop("again"))
-        again = found.where("again").select("k_id", "k_text", F.struct("at", "n", F.lit(False).alias("check")).alias("run"))
-        again = staged(again, "passage-again")
-    place = F.struct("k_id", "k_text", "at")
+# A row with ``again`` holds stretches in a row that all stand earlier in the same text, so they
+# go, and the earlier ones meet what is equal to them elsewhere.
+STRETCHES = pa.schema([
+    *((name, pa.int64()) for name in ("a", "h1", "h2", "k_id", "k_text", "cores")),
+    *((name, pa.int32()) for name in ("at", "n", "back")), ("again", pa.bool_()),
+])
+
+
+def stretch_rows(
+    joined: bytes, heads: np.ndarray, words: tuple[np.ndarray, np.ndarray], keys: list[np.ndarray]
+) -> pa.RecordBatch:
+    """Rows of the stretches of joined texts, which ``keys`` name."""
+    made = cut(joined, heads, words)
+    h = digests(joined, zip(made.start.tolist(), made.end.tolist()))
+    again = repeats(made, h)
+    # Of repeats in a row the first one's row stands for all.
+    follows = again[1:] & again[:-1] & (made.text[1:] == made.text[:-1])
+    one = np.flatnonzero(np.concatenate(([True], ~follows))[: len(again)])
+    n = np.add.reduceat(made.n, one) if len(one) else made.n
+    columns = (made.anchor, h[:, 0], h[:, 1], *(key[made.text] for key in keys), made.cores, made.at)
+    return _batch((*(c[one] for c in columns), n, made.back[one], again[one]), STRETCHES)
+
+
+def runs(found: DataFrame, place: Column) -> DataFrame:
+    """Of rows of stretches, per document an array of its stretches that go whole, and of the
+    windows in a row that must be read (``check``). ``place`` orders the documents; of a document
+    each stretch is met once."""
+    # What stands earlier in its text has that one's anchor, so it is a hit.
+    hits = _hits(found)
+    again = hits.where("again").select("k_id", "k_text", F.struct("at", "n", F.lit(False).alias("check")).alias("run"))
+    again = staged(again, "passage-again")
+    hits = hits.where("NOT again").drop("again")
     firsts = hits.groupBy("a", "h1", "h2").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.max("varied").alias("varied")
     ).where("varied OR first <> last").select("a", "h1", "h2", "first")
-    marked = hits.join(staged(firsts, "passage-firsts"), ["a", "h1", "h2"]).selectExpr(
-        "a", "k_id", "k_text", "at", "n", "back", "cores",
-        "first = named_struct('k_id', k_id, 'k_text', k_text, 'at', at) AS check", "varied",
+    firsts = staged(firsts, "passage-firsts").hint("shuffle_hash")
+    marked = hits.join(firsts, ["a", "h1", "h2"]).select(
+        "a", "k_id", "k_text", "at", "n", "back", "cores", (F.col("first") == place).alias("check"), "varied"
     ).where("varied OR NOT check").drop("varied")
     marked = staged(marked, "passage-marked")
     whole = marked.where("NOT check").select("k_id", "k_text", F.struct("at", "n", "check").alias("run"))
@@ -312,7 +305,7 @@ def _shared_blocks(firsts: DataFrame) -> DataFrame:
     place = ["k_id", "k_text", "anchor_at"]
     shared = blocks.groupBy("a", "block", "core").agg(
         *(least(name).alias(f"{least.__name__}_{name}") for name in place for least in (F.min, F.max))
-    ).where(" OR ".join(f"min_{name} <> max_{name}" for name in place)).select("a", "block", "core")
+    ).where(" OR ".join(f"min_{name} <> max_{name}" for name in place)).select("a", "block", "core").hint("shuffle_hash")
     return blocks.join(shared, ["a", "block", "core"], "left_semi").selectExpr(
         "k_id", "k_text", "named_struct('at', anchor_at - far, 'n', far - near + 1, 'check', true) AS run"
     )
@@ -325,32 +318,35 @@ def _hits(found: DataFrame) -> DataFrame:
         F.count("*").alias("c"), F.min("h1").alias("low"), F.max("h1").alias("high"),
         F.min("h2").alias("low2"), F.max("h2").alias("high2"),
     ).where("c > 1").selectExpr("a", "low <> high OR low2 <> high2 AS varied")
-    return staged(found.join(staged(anchors, "passage-anchors"), "a"), "passage-hits")
+    return staged(found.join(staged(anchors, "passage-anchors").hint("shuffle_hash"), "a"), "passage-hits")
 
 
-def later_windows(rows: DataFrame) -> DataFrame:
+def later_windows(rows: DataFrame, place: Column) -> DataFrame:
     """Of rows with ``k_id``, ``k_text``, ``text`` and ``runs``, per document an array of the
     windows, in the stretches to check, that stand earlier in another such stretch."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([*((name, pa.int64()) for name in ("h1", "h2", "k_id", "k_text")), ("at", pa.int32())])
+        schema = pa.schema([
+            *((name, pa.int64()) for name in ("h1", "h2", "k_id", "k_text")), ("at", pa.int32()), ("again", pa.bool_()),
+        ])
         for batch in slices(batches, 128):
             made = []
             for k_id, k_text, text, found, counts in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                data = text.encode()
-                starts, ends = word_bounds(data)
-                at = np.concatenate([np.arange(first, first + n) for first, n in zip(found, counts)])
-                h = digests(data, zip(starts[at].tolist(), ends[at + RUN - 1].tolist()))
-                made.append((h[:, 0], h[:, 1], *(np.full(len(at), key, np.int64) for key in (k_id, k_text)), at))
+                starts, ends = word_bounds(text)
+                at = np.unique(np.concatenate([np.arange(first, first + n) for first, n in zip(found, counts)]))
+                h = digests(text, zip(starts[at].tolist(), ends[at + RUN - 1].tolist()))
+                keys = (np.full(len(at), key, np.int64) for key in (k_id, k_text))
+                made.append((h[:, 0], h[:, 1], *keys, at, repeated(np.zeros(len(at), np.int64), h)))
             yield _batch(map(np.concatenate, zip(*made)), schema)
 
     check = "filter(runs, r -> r.check)"
     rows = rows.where("exists(runs, r -> r.check)")
-    rows = rows.selectExpr("k_id", "k_text", "text", f"{check}.at AS found", f"{check}.n AS counts")
-    schema = "h1 bigint, h2 bigint, k_id bigint, k_text bigint, at int"
+    rows = rows.selectExpr("k_id", "k_text", "cast(text AS binary)", f"{check}.at AS found", f"{check}.n AS counts")
+    schema = "h1 bigint, h2 bigint, k_id bigint, k_text bigint, at int, again boolean"
     found = staged(map_arrow(rows, read, schema), "passage-windows")
-    place = F.struct("k_id", "k_text", "at")
-    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = staged(firsts.where("first <> last").drop("last"), "passage-first-windows")
-    later = found.join(firsts, ["h1", "h2"]).where("first <> named_struct('k_id', k_id, 'k_text', k_text, 'at', at)")
+    firsts = found.groupBy("h1", "h2").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.max("again").alias("twice")
+    ).where("twice OR first <> last").select("h1", "h2", "first")
+    firsts = staged(firsts, "passage-first-windows").hint("shuffle_hash")
+    later = found.join(firsts, ["h1", "h2"]).where(F.col("again") | (F.col("first") != place))
     return later.groupBy("k_id", "k_text").agg(F.collect_set("at").alias("later"))
