@@ -53,7 +53,8 @@ FEW = 32
 # Of a document's shingles with more holders, those by which repeated pairs are told.
 HEAD = 16
 MOST_EXTRA = 4
-MAX_WORDS = 1_000_000
+# Words in a worker's memory, which later stages share; to hash a word anew costs little.
+MAX_WORDS = 100_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _known: dict[bytes, int] = {}

@@ -20,8 +20,11 @@ import public_tokenizers
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Words of a generation in a worker's memory, about 200 bytes each. A full generation becomes
-# the old one, whose words are taken over as they are met; the one before is forgotten.
-MAX_WORDS = 600_000
+# the old one, whose words are taken over as they are met; the one before is forgotten. A worker
+# outlives its stage, so what it keeps stands beside the heap of every later stage.
+MAX_WORDS = 300_000
+# Longer words are encoded each time.
+LONG_WORD = 200
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A run of points and commas after a Latin letter is a token run of its own.
@@ -54,22 +57,23 @@ class Encoder(dict):
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null is empty."""
-        if len(self) > self.max_words:
-            self.old = dict(self)
-            self.clear()
-            self[""] = b""
-        look_up = self.__getitem__
-        return [
-            b"".join(map(look_up, (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
-            for text in texts
-        ]
+        look_up, found = self.__getitem__, []
+        for text in texts:
+            if len(self) > self.max_words:
+                self.old = dict(self)
+                self.clear()
+                self[""] = b""
+            words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            found.append(b"".join(map(look_up, words)))
+        return found
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             tail = _TAIL.search(word) if word[-1] in ".," else None
             ids = self[word[: tail.start()]] + self[tail.group()] if tail else self._ids(word)
-        self[word] = ids
+        if len(word) <= LONG_WORD:
+            self[word] = ids
         return ids
 
     def _ids(self, word: str) -> bytes:
