@@ -8,7 +8,8 @@ A key with more than ``hot_rows`` rows would be one task's work, so all such key
 partitioned by key and time instead: a hot key is spread over as many partitions as its rows
 need. Inside a partition a window finds the last right row; for the first key of a partition it
 may lie in an earlier one, so the last right row of each partition is carried over its edges.
-The carry is one row per partition. Which way a key goes does not change its result.
+The carry is one row per partition. Which way a key goes does not change its result, so when
+there are more hot keys than can be broadcast, all keys are range partitioned.
 
 Nulls and ties: a left row without key or time, or with no right row at or before it, keeps
 null for the right columns. Right rows without key or time are not found. Of right rows with
@@ -59,9 +60,13 @@ def asof_join(
     both = own.unionByName(found, allowMissingColumns=True)
     sound = F.col("k").isNotNull() & F.col("t").isNotNull()
     hot = _hot_keys(own.where(sound).select("k"), found.select("k"), hot_rows)
-    if hot is None:
+    held = hot.count()
+    if not held:
         joined = _in_keys(both.where(sound))
+    elif held > MAX_BROADCAST_ROWS:
+        joined = _in_ranges(both.where(sound), parts)
     else:
+        hot = F.broadcast(hot)
         joined = _in_keys(both.where(sound).join(hot, "k", "left_anti")).unionByName(
             _in_ranges(both.where(sound).join(hot, "k", "left_semi"), parts)
         )
@@ -69,15 +74,11 @@ def asof_join(
     return joined.unionByName(lost).select("own.*", *(F.col(f"value.held.`{name}`").alias(name) for name in columns))
 
 
-def _hot_keys(one: DataFrame, other: DataFrame, hot_rows: int) -> DataFrame | None:
-    """The keys with more rows than ``hot_rows`` for broadcast, or None. There are at most as
-    many as all rows by ``hot_rows``."""
+def _hot_keys(one: DataFrame, other: DataFrame, hot_rows: int) -> DataFrame:
+    """The keys with more rows than ``hot_rows``. There are at most as many as all rows by
+    ``hot_rows``."""
     counts = one.unionByName(other).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    hot = staged(counts.where(F.col("n") > hot_rows).select("k"), "asof-hot")
-    held = hot.count()
-    if held > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{held} keys have more than {hot_rows} rows; raise hot_rows")
-    return F.broadcast(hot) if held else None
+    return staged(counts.where(F.col("n") > hot_rows).select("k"), "asof-hot")
 
 
 def _last_value(by: str) -> str:

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quotelake.operators import versions
+from quotelake.operators import asof, versions
 from quotelake.operators.asof import asof_join
 from quotelake.operators.intervals import valid_at
 from quotelake.operators.numbering import numbered
@@ -52,6 +52,17 @@ def test_asof(spark, sides, hot_rows, parts):
     assert sorted(map(tuple, found.collect()), key=repr) == brute(left, right)
 
 
+@pytest.mark.parametrize("hot_rows, parts", [(0, 1), (0, 7), (30, 5)])
+def test_asof_with_more_hot_keys_than_can_be_broadcast(spark, sides, hot_rows, parts, monkeypatch):
+    monkeypatch.setattr(asof, "MAX_BROADCAST_ROWS", 2)
+    left, right = sides
+    found = asof_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), "key", "at", ["rank", "price"],
+        tie=["rank", "price"], hot_rows=hot_rows, parts=parts,
+    )
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(left, right)
+
+
 @pytest.mark.parametrize("hot_rows", [0, 10])
 def test_asof_with_an_empty_side(spark, sides, hot_rows):
     left, right = spark.createDataFrame(sides[0], LEFT), spark.createDataFrame(sides[1], RIGHT)
