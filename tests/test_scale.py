@@ -90,6 +90,23 @@ def test_size_check_decides_the_broadcast(spark, hot, capsys, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_keys_of_a_large_dimension_are_not_broadcast(spark, capsys):
+    from quotelake.operators.dims import with_keys
+
+    quotes = spark.range(1000).selectExpr("concat('U', id * 150) AS ticker", "IF(id < 0, 'B', 'A') AS source", "DATE '2024-01-15' AS date")
+    assets = spark.range(150_000).selectExpr("concat('U', id) AS ticker", "int(id) AS asset_key")
+    sources = spark.range(2).selectExpr("IF(id = 0, 'A', 'B') AS source_name", "int(id) AS source_key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = with_keys(quotes, assets, sources)
+        text = plan(keyed, capsys)
+        assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+        assert plan(with_keys(quotes, assets.limit(1000), sources), capsys).count("BroadcastHashJoin") == 2
+        assert sorted(r.asset_key for r in keyed.collect()) == [n * 150 for n in range(1000)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_stored_facts_are_pruned_by_year_and_key(spark, star, capsys):
     from quotelake.session import shared_dir
     from quotelake.sources.warehouse import Warehouse, write_facts
